@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cohorts, derived, ranks, shape, sources  # noqa: F401
+from . import cohorts, derived, preparation, ranks, scoring, shape, sources  # noqa: F401
 from .registry import QUERIES, SQL
 
 
