@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import cohorts, derived, preparation, ranks, scoring, shape, sources  # noqa: F401
+from . import (  # noqa: F401
+    cohorts, derived, models, preparation, ranks, scoring, shape, sources,
+)
 from .registry import QUERIES, SQL
 
 

@@ -171,36 +171,39 @@ def use_checkpoints(df: DataFrame) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
-def fit(candidate: Candidate, train: DataFrame, label: str,
-        validation: str | None = None) -> PipelineModel:
+def fit(candidate: Candidate, train: DataFrame, label: str, validation: str | None = None,
+        hold_input: bool = True) -> PipelineModel:
     """Fit preparation and learner on the table; both end up in one saved model.
 
     Rows flagged by ``validation`` steer early stopping only: the preparation
-    and the class weights come from the others.
+    and the class weights come from the others.  Preparation reads the table
+    several times, so the columns it needs are held on the executors meanwhile;
+    ``hold_input=False`` skips that for a table the caller already holds.
     """
     use_checkpoints(train)
+    train = train.select(label, *candidate.numeric, *candidate.categorical,
+                         *([validation] if validation else []))
+    if hold_input:
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)
     fitting = train.where(~F.col(validation)) if validation else train
-    scale = candidate.kind == "logistic"
-    prep = fit_preparation(fitting, candidate.numeric, candidate.categorical, scale,
-                           candidate.encode, candidate.min_frequency)
+    prep = fit_preparation(fitting, candidate.numeric, candidate.categorical,
+                           candidate.kind == "logistic", candidate.encode,
+                           candidate.min_frequency)
     ready = prep.transform(train)
     if candidate.weighted:
-        weights = add_class_weight(fitting.select(label), label, out=WEIGHT) \
-            .groupBy(label).agg(F.first(WEIGHT).alias(WEIGHT)).collect()
-        expr = F.lit(1.0)
-        for row in weights:
-            expr = F.when(F.col(label) == row[label], F.lit(row[WEIGHT])).otherwise(expr)
-        ready = ready.withColumn(WEIGHT, expr)
-    keep = [label, FEATURES, *([WEIGHT] if candidate.weighted else []),
-            *([validation] if validation else [])]
-    ready = ready.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+        ready = add_class_weight(ready, label, out=WEIGHT, fit_on=fitting.select(label))
+    ready = ready.select(label, FEATURES, *([WEIGHT] if candidate.weighted else []),
+                         *([validation] if validation else []))
+    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = float(ready.count())
+        if hold_input:
+            train.unpersist()
         bins = 32
         if candidate.encode == "index":
-            sizes = [len(m.labelsArray[i]) + 1 for m in prep.stages
-                     if hasattr(m, "labelsArray") for i in range(len(m.labelsArray))]
-            bins = max([32, *sizes])
+            sizes = [len(labels) + 1 for stage in prep.stages if hasattr(stage, "labelsArray")
+                     for labels in stage.labelsArray]
+            bins = max([bins, *sizes])
         model = learner(candidate.kind, label, rows, candidate.seed, validation,
                         candidate.weighted, bins, **candidate.params).fit(ready)
     finally:
@@ -236,7 +239,7 @@ def cross_validate(candidates: Sequence[Candidate], df: DataFrame, label: str, f
 
         def run(task: tuple[Candidate, int]) -> tuple[str, int, float]:
             candidate, k = task
-            model = fit(candidate, df.where(F.col(fold) != k), label)
+            model = fit(candidate, df.where(F.col(fold) != k), label, hold_input=False)
             return candidate.name, k, auc_of(model, df.where(F.col(fold) == k), label)
 
         with ThreadPool(parallelism) as pool:
@@ -298,8 +301,8 @@ def search(base: Candidate, space: Mapping[str, tuple], train: DataFrame, label:
     def run(i: int) -> float:
         trial = Candidate(**{**base.__dict__, "params": {**base.params, **settings[i]}})
         if validate is not None:
-            return judge(fit(trial, train, label), validate, label)
-        values = [judge(fit(trial, train.where(F.col(fold) != k), label),
+            return judge(fit(trial, train, label, hold_input=False), validate, label)
+        values = [judge(fit(trial, train.where(F.col(fold) != k), label, hold_input=False),
                         train.where(F.col(fold) == k), label) for k in folds]
         return sum(values) / len(values)
 

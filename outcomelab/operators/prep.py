@@ -205,9 +205,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def add_class_weight(df: DataFrame, label: str, kind: str = "balanced",
-                     out: str = "weight") -> DataFrame:
+                     out: str = "weight", fit_on: DataFrame | None = None) -> DataFrame:
     """Append the class weight as a literal per class (classes are few)."""
-    weights = class_weights(df, label).collect()
+    weights = class_weights(df if fit_on is None else fit_on, label).collect()
     expr = F.lit(None).cast("double")
     for row in weights:
         expr = F.when(F.col(label) == row[label], F.lit(row[kind])).otherwise(expr)
