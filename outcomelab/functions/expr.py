@@ -38,6 +38,13 @@ def number(c: str | Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def numbers(df: DataFrame, columns: Iterable[str], keep: Iterable[str] = ()) -> DataFrame:
+    """Only the wanted columns, numeric ones cleaned once for everything that follows."""
+    kept = list(dict.fromkeys(keep))
+    return df.select(*kept, *[number(c).alias(c) for c in dict.fromkeys(columns)
+                              if c not in kept])
+
+
 def flag(condition: Column) -> Column:
     """0/1 integer that is never NULL: an unknown condition counts as 0."""
     return F.coalesce(condition, F.lit(False)).cast("int")

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import number, numeric_columns
+from ..functions.expr import number, numbers, numeric_columns
 from .bins import quantile_bin, quantile_edges
 
 PAIRS_PER_PASS = 1000
@@ -16,7 +16,7 @@ PAIRS_PER_PASS = 1000
 
 def _safe_corr(a: str, b: str):
     """Pearson correlation over complete pairs; NULL when either side is constant."""
-    r = F.corr(number(a), number(b))
+    r = F.corr(a, b)
     return F.when(~F.isnan(r), r)
 
 
@@ -24,7 +24,8 @@ def target_correlations(df: DataFrame, label: str, columns: Sequence[str] | None
                         exclude: Sequence[str] = (), top: int | None = 30) -> DataFrame:
     """``(feature, r, abs_r)`` ranked by strength; every column in one aggregation."""
     columns = list(columns or numeric_columns(df, {label, *exclude}))
-    wide = df.agg(*[_safe_corr(c, label).alias(c) for c in columns])
+    rows = numbers(df, [*columns, label])
+    wide = rows.agg(*[_safe_corr(c, label).alias(c) for c in columns])
     out = (wide.unpivot([], columns, "feature", "r")
            .withColumn("abs_r", F.abs("r"))
            .orderBy(F.desc_nulls_last("abs_r"), "feature"))
@@ -37,15 +38,15 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str],
 
     One aggregation per thousand pairs, so generated code stays small on wide tables.
     """
-    pairs = list(combinations(columns, 2))
+    pairs, rows = list(combinations(columns, 2)), numbers(df, columns)
     out = None
     for start in range(0, len(pairs), PAIRS_PER_PASS):
         part = pairs[start:start + PAIRS_PER_PASS]
-        wide = df.agg(*[_safe_corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(part)])
-        rows = wide.select(F.inline(F.array(*[
+        wide = rows.agg(*[_safe_corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(part)])
+        table = wide.select(F.inline(F.array(*[
             F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("r"))
             for i, (a, b) in enumerate(part)])))
-        out = rows if out is None else out.unionByName(rows)
+        out = table if out is None else out.unionByName(table)
     if out is None:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
     return out.where(F.col("r") >= min_r) if min_r is not None else out
@@ -65,10 +66,10 @@ def anova_f(df: DataFrame, columns: Sequence[str], label: str, classes: Sequence
     exprs = []
     for i, c in enumerate(columns):
         for j in classes:
-            x = F.when(y == j, number(c))
+            x = F.when(y == j, F.col(c))
             exprs += [F.count(x).alias(f"n_{i}_{j}"), F.avg(x).alias(f"m_{i}_{j}"),
                       F.var_pop(x).alias(f"v_{i}_{j}")]
-    stats = df.agg(*exprs)
+    stats = numbers(df, columns, [label]).agg(*exprs)
     rows = []
     for i, c in enumerate(columns):
         n = sum((F.col(f"n_{i}_{j}") for j in classes), F.lit(0))

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import number
+from ..functions.expr import number, numbers
 from .ordering import quantiles
 
 
@@ -83,10 +83,10 @@ def class_means(df: DataFrame, columns: Sequence[str], label: str,
     The scaled form divides by the larger class mean when that is positive.
     """
     y = F.col(label)
-    means = df.agg(*[F.struct(
+    means = numbers(df, columns, [label]).agg(*[F.struct(
         F.lit(c).alias("column"),
-        F.avg(F.when(y == 0, number(c))).alias("mean_0"),
-        F.avg(F.when(y == 1, number(c))).alias("mean_1")).alias(c) for c in columns])
+        F.avg(F.when(y == 0, F.col(c))).alias("mean_0"),
+        F.avg(F.when(y == 1, F.col(c))).alias("mean_1")).alias(c) for c in columns])
     out = means.select(F.inline(F.array(*[F.col(f"`{c}`") for c in columns])))
     if scaled:
         larger = F.greatest("mean_0", "mean_1")

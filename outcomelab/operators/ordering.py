@@ -17,6 +17,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -224,7 +225,7 @@ def _finish(rows: DataFrame, by: str | None, targets: list[_Target]) -> None:
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
               by: str | None = None, budget: int = 2_000_000, accuracy: int = 10_000,
-              batch: int = 40) -> dict[tuple[object, str], list[float | None]]:
+              batch: int = 40, hold: bool = True) -> dict[tuple[object, str], list[float | None]]:
     """Exact linearly interpolated quantiles, keyed by ``(group, column)``.
 
     ``by`` is a class-like column with few values (a missing class is left out);
@@ -232,10 +233,25 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     ``budget`` values: columns that fit are answered by the built-in exact
     ``percentile``; larger ones are narrowed first, each round leaving about
     ``4 / accuracy`` of the rows, until the brackets fit.
+
+    The table is read two to six times, so the wanted columns are held on the
+    executors meanwhile; ``hold=False`` reads the source again instead.
     """
     rows = df.select(*([by] if by else []), *[number(c).alias(c) for c in columns])
     if by:
         rows = rows.where(F.col(by).isNotNull())
+    if hold:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _quantiles(rows, list(columns), list(probs), by, budget, accuracy, batch)
+    finally:
+        if hold:
+            rows.unpersist()
+
+
+def _quantiles(rows: DataFrame, columns: list[str], probs: list[float], by: str | None,
+               budget: int, accuracy: int, batch: int
+               ) -> dict[tuple[object, str], list[float | None]]:
     keys = [by] if by else []
     sizes: dict[tuple[object, str], int] = {}
     for row in rows.groupBy(*keys).agg(*[F.count(c).alias(c) for c in columns]).collect():

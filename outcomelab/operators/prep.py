@@ -9,7 +9,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel,
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import filled_category, is_numeric, number, numeric_columns
+from ..functions.expr import filled_category, is_numeric, number, numbers, numeric_columns
 from .ordering import quantiles
 
 INFREQUENT = "__infrequent__"
@@ -25,7 +25,7 @@ def fit_fill(df: DataFrame, strategy: str = "median",
         found = quantiles(df, columns, [0.5])
         values = {c: found[(None, c)][0] for c in columns}
     elif strategy == "mean":
-        row = df.agg(*[F.avg(number(c)).alias(c) for c in columns]).first()
+        row = numbers(df, columns).agg(*[F.avg(c).alias(c) for c in columns]).first()
         values = {c: row[c] for c in columns}
     else:
         raise ValueError(f"unknown strategy {strategy!r}: use 'median', 'mean' or 'drop'")
@@ -108,8 +108,9 @@ class Scaler:
 
 def fit_scaler(df: DataFrame, columns: Sequence[str], with_mean: bool = True) -> Scaler:
     """One aggregation for all columns; a constant column is divided by one."""
-    row = df.agg(*[F.avg(number(c)).alias(f"m_{c}") for c in columns],
-                 *[F.stddev_pop(number(c)).alias(f"s_{c}") for c in columns]).first()
+    row = numbers(df, columns).agg(
+        *[F.avg(c).alias(f"m_{c}") for c in columns],
+        *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).first()
     return Scaler({c: row[f"m_{c}"] or 0.0 for c in columns},
                   {c: row[f"s_{c}"] or 1.0 for c in columns}, with_mean)
 

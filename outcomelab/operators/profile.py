@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import number
+from ..functions.expr import numbers
 from .ordering import quantiles
 
 
@@ -78,11 +78,13 @@ def describe(df: DataFrame, columns: Sequence[str], by: str | None = None) -> Da
     keys = [by] if by else []
     exprs = []
     for c in columns:
-        x = number(c)
+        x = F.col(c)
         exprs.append(F.struct(
             F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
             F.min(x).alias("min"), F.max(x).alias("max")).alias(c))
-    rows = df.where(F.col(by).isNotNull()) if by else df
+    rows = numbers(df, columns, keys)
+    if by:
+        rows = rows.where(F.col(by).isNotNull())
     moments = rows.groupBy(*keys).agg(*exprs)
     parts = []
     for c in columns:

@@ -9,7 +9,8 @@ comparing its own hash with those cuts.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,48 +54,39 @@ def split_sizes(counts: Sequence[int], test_size: float,
     return [(t, k - r) for t, k, r in zip(test, left, train)]
 
 
-def class_counts(df: DataFrame, label: str) -> dict[object, int]:
-    rows = (df.where(F.col(label).isNotNull()).groupBy(label)
-            .agg(F.count(F.lit(1)).alias("n")).collect())
-    return {r[label]: r["n"] for r in sorted(rows, key=lambda r: r[label])}
+def _prefix_counts(hashed: DataFrame, size: int) -> dict[object, list[tuple[str, int]]]:
+    """Rows per class and hash prefix, in prefix order."""
+    out: dict[object, list[tuple[str, int]]] = {}
+    for row in (hashed.groupBy("y", F.substring("h", 1, size).alias("p"))
+                .agg(F.count(F.lit(1)).alias("n")).collect()):
+        out.setdefault(row["y"], []).append((row["p"], row["n"]))
+    return {y: sorted(out[y]) for y in sorted(out)}
 
 
-def hash_cuts(df: DataFrame, label: str, id_column: str, seed: int,
+def hash_cuts(hashed: DataFrame, first: dict[object, list[tuple[str, int]]],
               ranks: dict[object, list[int]]) -> dict[object, list[str]]:
     """For each class and rank ``r``: a bound such that exactly ``r`` hashes lie below it.
 
-    Rows with one and the same id share a hash and stay on one side of a cut.
-    Each pass brings back at most classes x cuts x 4096 counts.
+    ``first`` holds the counts of the shortest prefixes; each further pass looks
+    only at rows under the prefixes that a cut runs through, and brings back at
+    most cuts x 4096 counts.  Rows with one and the same id share a hash and
+    stay on one side of a cut.
     """
-    hashed = df.select(F.col(label).alias("y"), row_hash(id_column, seed).alias("h"))
     bounds: dict[tuple[object, int], str] = {}
-    open_cuts: dict[tuple[object, int], tuple[str, int]] = {}
-    for y, wanted in ranks.items():
-        for r in set(wanted):
-            open_cuts[(y, r)] = ("", r)
-    while open_cuts:
-        depth = len(next(iter(open_cuts.values()))[0])
-        prefixes = sorted({(y, p) for (y, _), (p, _) in open_cuts.items()}, key=str)
-        within = F.lit(False)
-        for y, p in prefixes:
-            within = within | ((F.col("y") == F.lit(y)) & F.col("h").startswith(p))
-        size = min(depth + HEX_PER_PASS, HASH_LENGTH)
-        counts: dict[tuple[object, str], list[tuple[str, int]]] = {}
-        for row in (hashed.where(within)
-                    .groupBy("y", F.substring("h", 1, size).alias("p"))
-                    .agg(F.count(F.lit(1)).alias("n")).collect()):
-            counts.setdefault((row["y"], row["p"][:depth]), []).append((row["p"], row["n"]))
+    open_cuts = {(y, r): ("", r) for y, wanted in ranks.items() for r in wanted}
+    counts, size = first, HEX_PER_PASS
+    while True:
         still_open = {}
         for (y, r), (prefix, need) in open_cuts.items():
-            steps = sorted(counts.get((y, prefix), []))
-            bound = AFTER_ALL if not prefix else prefix + AFTER_ALL
-            for p, n in steps:
+            bound: str | None = prefix + AFTER_ALL
+            for p, n in counts[y]:
+                if not p.startswith(prefix):
+                    continue
                 if need == 0:
                     bound = p
                     break
                 if need < n and size < HASH_LENGTH:
-                    still_open[(y, r)] = (p, need)
-                    bound = None
+                    still_open[(y, r)], bound = (p, need), None
                     break
                 need -= min(need, n)
                 if need == 0:
@@ -102,17 +94,28 @@ def hash_cuts(df: DataFrame, label: str, id_column: str, seed: int,
                     break
             if bound is not None:
                 bounds[(y, r)] = bound
-        open_cuts = still_open
-    return {y: [bounds[(y, r)] for r in wanted] for y, wanted in ranks.items()}
+        if not still_open:
+            return {y: [bounds[(y, r)] for r in wanted] for y, wanted in ranks.items()}
+        open_cuts, size = still_open, min(size + HEX_PER_PASS, HASH_LENGTH)
+        within = F.lit(False)
+        for y, p in sorted({(y, p) for (y, _), (p, _) in open_cuts.items()}, key=str):
+            within = within | ((F.col("y") == F.lit(y)) & F.col("h").startswith(p))
+        counts = _prefix_counts(hashed.where(within), size)
 
 
 def assign_parts(df: DataFrame, label: str, id_column: str, seed: int,
-                 ranks: dict[object, list[int]], names: Sequence[object], out: str) -> DataFrame:
-    """Append the part each row falls in; purely row-local once the cuts are known."""
-    cuts = hash_cuts(df, label, id_column, seed, ranks)
+                 ranks_of: Callable[[dict[object, int]], dict[object, list[int]]],
+                 names: Sequence[object], out: str) -> DataFrame:
+    """Append the part each row falls in; purely row-local once the cuts are known.
+
+    ``ranks_of`` turns the class sizes into the ranks where the parts end.
+    """
     h = row_hash(id_column, seed)
+    hashed = df.where(F.col(label).isNotNull()).select(F.col(label).alias("y"), h.alias("h"))
+    first = _prefix_counts(hashed, HEX_PER_PASS)
+    ranks = ranks_of({y: sum(n for _, n in steps) for y, steps in first.items()})
     part = F.lit(None).cast("string" if isinstance(names[0], str) else "int")
-    for y, bounds in cuts.items():
+    for y, bounds in hash_cuts(hashed, first, ranks).items():
         ladder = F.lit(names[-1])
         for name, bound in reversed(list(zip(names, bounds))):
             ladder = F.when(h < F.lit(bound), F.lit(name)).otherwise(ladder)
@@ -127,19 +130,21 @@ def stratified_split(df: DataFrame, label: str, id_column: str, test_size: float
 
     Without ``val_size`` the table is cut in two.  Rows without a label get no part.
     """
-    counts = class_counts(df, label)
-    sizes = split_sizes(list(counts.values()), test_size, val_size)
-    ranks = {y: [sum(s[:i + 1]) for i in range(len(s))] for y, s in zip(counts, sizes)}
+    def ranks_of(counts: dict[object, int]) -> dict[object, list[int]]:
+        sizes = split_sizes(list(counts.values()), test_size, val_size)
+        return {y: list(accumulate(s)) for y, s in zip(counts, sizes)}
+
     names = ["test", "train"] if val_size is None else ["test", "val", "train"]
-    return assign_parts(df, label, id_column, seed, ranks, names, out)
+    return assign_parts(df, label, id_column, seed, ranks_of, names, out)
 
 
 def stratified_folds(df: DataFrame, label: str, id_column: str, folds: int = 5,
                      seed: int = 42, out: str = "fold") -> DataFrame:
     """Append a 0-based fold; fold sizes differ by at most one row per class."""
-    counts = class_counts(df, label)
-    ranks = {y: [n * (k + 1) // folds for k in range(folds - 1)] for y, n in counts.items()}
-    return assign_parts(df, label, id_column, seed, ranks, list(range(folds)), out)
+    def ranks_of(counts: dict[object, int]) -> dict[object, list[int]]:
+        return {y: [n * (k + 1) // folds for k in range(folds - 1)] for y, n in counts.items()}
+
+    return assign_parts(df, label, id_column, seed, ranks_of, list(range(folds)), out)
 
 
 def split_report(df: DataFrame, label: str, split: str = "split") -> DataFrame:

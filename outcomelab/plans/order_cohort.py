@@ -21,7 +21,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def line_totals(lines: DataFrame) -> DataFrame:
     """Per order: whole-number totals; combined before the shuffle."""
     def whole(c: str, scale: int) -> Column:
-        return F.round(F.col(c) * scale).cast("bigint")
+        return F.rint(F.col(c) * scale).cast("bigint")
     return lines.groupBy(F.col("l_orderkey").alias("id")).agg(
         F.count(F.lit(1)).alias("k"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("qty"),
