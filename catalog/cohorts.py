@@ -255,19 +255,29 @@ def _(spark, sf):
                    "r")
 
 
-@check("F14_equal_width_rate", on_cohort("""
-, r AS (SELECT min(balance) AS lo, max(balance) AS hi FROM cohort),
+def equal_width_sql(column):
+    return on_cohort(f"""
+, r AS (SELECT min({column}) AS lo, max({column}) AS hi FROM cohort),
 b AS (SELECT CAST(1 + list_sum(list_transform(range(1, 10),
-             lambda i: CAST(balance > lo + (hi - lo) / 10 * i AS INTEGER))) AS INTEGER) AS bin,
-             lo, hi, label FROM cohort, r)
+             lambda i: CAST({column} > lo + (hi - lo) / 10 * i AS INTEGER))) AS INTEGER) AS bin,
+             lo, hi, label FROM cohort, r WHERE {column} IS NOT NULL)
 SELECT bin, round(any_value(lo + (hi - lo) / 10 * (bin - 1)), 6) AS lo,
        round(any_value(lo + (hi - lo) / 10 * bin), 6) AS hi, count(*) AS n,
-       round(avg(label), 6) AS rate FROM b GROUP BY bin"""))
+       round(avg(label), 6) AS rate FROM b GROUP BY bin""")
+
+
+@check("F14_equal_width_rate", equal_width_sql("balance"))
 def _(spark, sf):
     return rounded(bins.equal_width_rate(order_cohort(spark, sf), "balance", "label"),
                    "lo", "hi", "rate")
 
 
+@check("F14_equal_width_rate_with_nulls", equal_width_sql("qty"))
+def _(spark, sf):
+    return rounded(bins.equal_width_rate(order_cohort(spark, sf), "qty", "label"),
+                   "lo", "hi", "rate")
+
+
 @check("F15_edge_rate", on_cohort("""
 SELECT bin, CAST([0, 50, 100, 200][bin] AS DOUBLE) AS lo,
        CAST([50, 100, 200, 500][bin] AS DOUBLE) AS hi, count(*) AS n, round(avg(label), 6) AS rate

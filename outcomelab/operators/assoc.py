@@ -14,10 +14,14 @@ from .bins import quantile_bin, quantile_edges
 PAIRS_PER_PASS = 1000
 
 
-def _safe_corr(a: str, b: str):
-    """Pearson correlation over complete pairs; NULL when either side is constant."""
-    r = F.corr(a, b)
-    return F.when(~F.isnan(r), r)
+def _safe_corr(a: str, b: str) -> Column:
+    """Pearson correlation over complete pairs; NULL when either side is constant.
+
+    The built-in ``corr`` fails on a constant column, hence the guarded quotient.
+    """
+    spread_a = F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a)))
+    spread_b = F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b)))
+    return F.try_divide(F.covar_pop(a, b), spread_a * spread_b)
 
 
 def target_correlations(df: DataFrame, label: str, columns: Sequence[str] | None = None,

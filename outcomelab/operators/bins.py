@@ -38,7 +38,8 @@ def equal_width_bin(x: Column, lo: Column, hi: Column, bins: int,
         fixed = (F.when((guess > 1) & (x < lo + step * (guess - 1)), guess - 1)
                  .when((guess < bins) & (x >= lo + step * guess), guess + 1).otherwise(guess))
     middle = (bins + 1) // 2 if right_closed else bins // 2 + 1
-    return F.when(hi > lo, fixed).when(x.isNotNull(), F.lit(middle)).cast("int")
+    # A missing value has no bin; ``least`` and ``greatest`` would skip it.
+    return F.when(x.isNull(), F.lit(None)).when(hi > lo, fixed).otherwise(F.lit(middle)).cast("int")
 
 
 def _rates(binned: DataFrame, label: str, *edges: Column) -> DataFrame:
