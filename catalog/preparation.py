@@ -262,3 +262,10 @@ SELECT '{column}' AS feature, sum(p * ln(p / (px * py))) AS mi FROM (
 SELECT feature, round(mi, 6) AS mi FROM ({' UNION ALL '.join(map(mi_sql, MI))})"""))
 def _(spark, sf):
     return rounded(assoc.mutual_information(order_cohort(spark, sf), MI, "label"), "mi")
+
+
+@check("I13_selected_columns", on_cohort("SELECT id, score, score_b FROM cohort"))
+def _(spark, sf):
+    c = order_cohort(spark, sf)
+    ranking = assoc.anova_f(c, ["score", "score_b", "balance", "price", "avg_tax"], "label", top=2)
+    return assoc.keep_ranked(c, ranking, ["id"])

@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
+from pyspark import StorageLevel
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import number, numbers, numeric_columns
 from .bins import quantile_bin, quantile_edges
 
-PAIRS_PER_PASS = 1000
+FEW_PAIRS = 10
 
 
 def _safe_corr(a: str, b: str) -> Column:
@@ -38,24 +42,80 @@ def target_correlations(df: DataFrame, label: str, columns: Sequence[str] | None
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str],
                       min_r: float | None = None) -> DataFrame:
-    """Lower triangle of the correlation matrix as ``(a, b, r)``.
+    """Lower triangle of the correlation matrix as ``(a, b, r)``, over complete pairs.
 
-    One aggregation per thousand pairs, so generated code stays small on wide tables.
+    A few pairs are single aggregate expressions.  A wide table would need
+    thousands of them, so there the moments of all pairs come from one Gram
+    matrix, whose size depends on the number of columns only.
     """
-    pairs, rows = list(combinations(columns, 2)), numbers(df, columns)
-    out = None
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        part = pairs[start:start + PAIRS_PER_PASS]
-        wide = rows.agg(*[_safe_corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(part)])
-        table = wide.select(F.inline(F.array(*[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("r"))
-            for i, (a, b) in enumerate(part)])))
-        out = table if out is None else out.unionByName(table)
-    if out is None:
-        return df.sparkSession.createDataFrame([], "a string, b string, r double")
+    pairs = list(combinations(columns, 2))
+    if len(pairs) <= FEW_PAIRS:
+        found = _aggregated_pairs(numbers(df, columns), pairs)
+    else:
+        rows = numbers(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            found = _matrix_pairs(rows, list(columns), pairs)
+        finally:
+            rows.unpersist()
+    out = df.sparkSession.createDataFrame(
+        [(a, b, found[(a, b)]) for a, b in pairs], "a string, b string, r double")
     return out.where(F.col("r") >= min_r) if min_r is not None else out
 
 
+def _aggregated_pairs(rows: DataFrame, pairs: list[tuple[str, str]]
+                      ) -> dict[tuple[str, str], float | None]:
+    out: dict[tuple[str, str], float | None] = {}
+    for start in range(0, len(pairs), FEW_PAIRS):
+        part = pairs[start:start + FEW_PAIRS]
+        row = rows.agg(*[_safe_corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(part)]).first()
+        out.update({pair: row[f"p{i}"] for i, pair in enumerate(part)})
+    return out
+
+
+def _matrix_pairs(rows: DataFrame, columns: list[str], pairs: list[tuple[str, str]]
+                  ) -> dict[tuple[str, str], float | None]:
+    """Pair moments from the covariance of presence, value and squared value.
+
+    Values are centred and scaled first, so nothing cancels.  Pairs in which a
+    column hardly varies are measured again by a direct aggregate.
+    """
+    k = len(columns)
+    first = rows.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+                     *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    scaled = rows.select(*[
+        ((F.col(c) - F.lit(first[f"m{i}"] or 0.0)) / F.lit(first[f"s{i}"] or 1.0)).alias(f"z{i}")
+        for i, c in enumerate(columns)])
+    z = [F.col(f"z{i}") for i in range(k)]
+    slots = [*[v.isNotNull().cast("double") for v in z],
+             *[F.coalesce(v, F.lit(0.0)) for v in z],
+             *[F.coalesce(v * v, F.lit(0.0)) for v in z]]
+    vectors = scaled.select(array_to_vector(F.array(*slots)).alias("v"))
+    stats = vectors.agg(Summarizer.metrics("count", "mean", "variance")
+                        .summary(F.col("v")).alias("s")).first()["s"]
+    n, mean, spread = stats["count"], stats["mean"].toArray(), stats["variance"].toArray() ** 0.5
+    cov = Correlation.corr(vectors, "v").first()[0].toArray() * spread[:, None] * spread[None, :]
+    moment = np.nan_to_num(cov) * (n - 1) / n + mean[:, None] * mean[None, :]
+
+    out: dict[tuple[str, str], float | None] = {}
+    again = []
+    place = {c: i for i, c in enumerate(columns)}
+    for a, b in pairs:
+        i, j = place[a], place[b]
+        w = moment[i, j]
+        if w * n < 0.5 or not first[f"s{i}"] or not first[f"s{j}"]:
+            out[(a, b)] = None                # never present together, or constant
+            continue
+        var_a = moment[2 * k + i, j] * w - moment[k + i, j] ** 2
+        var_b = moment[2 * k + j, i] * w - moment[k + j, i] ** 2
+        if min(var_a, var_b) < 1e-6 * w * w:
+            again.append((a, b))
+            continue
+        joint = moment[k + i, k + j] * w - moment[k + i, j] * moment[k + j, i]
+        out[(a, b)] = float(joint / (var_a * var_b) ** 0.5)
+    out.update(_aggregated_pairs(rows, again))
+    return out
+
+
 def strongest_pairs(df: DataFrame, label: str, columns: Sequence[str], top: int) -> DataFrame:
     """Correlation pairs among the ``top`` columns that follow the label most closely."""
     names = [r["feature"] for r in
@@ -114,3 +174,9 @@ def mutual_information(df: DataFrame, columns: Sequence[str], label: str, bins:
     out = (cells.groupBy("feature").agg(F.sum(F.col("p") * F.log(F.col("p") / F.col("q"))).alias("mi"))
            .orderBy(F.desc("mi"), "feature"))
     return out.limit(top) if top else out
+
+
+def keep_ranked(df: DataFrame, ranking: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The table reduced to the ranked features plus the columns to keep."""
+    names = [r["feature"] for r in ranking.select("feature").collect()]
+    return df.select(*dict.fromkeys([*keep, *names]))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -18,7 +19,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import is_numeric
+from ..session import cut_lineage
 from .evaluate import metrics
 from .prep import (
     INFREQUENT, add_class_weight, fit_fill, fit_modes, fit_scaler, level_table,
@@ -26,6 +27,7 @@ from .prep import (
 from .score import score_with
 
 FEATURES, WEIGHT = "features", "class_weight"
+MAX_LEVELS = 10_000
 
 # Starting parameters and search ranges, kept to what Spark ML offers.
 BASE_PARAMS: dict[str, dict[str, object]] = {
@@ -63,6 +65,33 @@ def _named(column: str) -> str:
     return f"`{column}`"
 
 
+def _with_rare_levels(train: DataFrame, column: str, source: str, min_frequency: int) -> str:
+    """SQL that keeps frequent levels, merges rare ones and leaves unseen ones NULL.
+
+    Frequent levels become vector slots, so their number is checked before they
+    are brought to the driver.  When there are too many rare levels to list,
+    every other level, unseen ones included, counts as rare.
+    """
+    levels = level_table(train, column, min_frequency)
+    is_rare = F.col("slot") == INFREQUENT
+    sizes = levels.agg(F.count_if(~is_rare).alias("kept"), F.count_if(is_rare).alias("rare")).first()
+    if sizes["kept"] > MAX_LEVELS:
+        raise ValueError(f"{column} has {sizes['kept']} frequent levels, more than {MAX_LEVELS} "
+                         "vector slots: raise min_frequency or leave the column out")
+
+    def listed(which) -> str:
+        return ", ".join(sorted(_quoted(r[column]) for r in levels.where(which).collect()))
+
+    sql = "CASE"
+    if sizes["kept"]:
+        sql += f" WHEN {source} IN ({listed(~is_rare)}) THEN {source}"
+    if sizes["rare"] > MAX_LEVELS:
+        return f"{sql} ELSE {_quoted(INFREQUENT)} END"
+    if sizes["rare"]:
+        sql += f" WHEN {source} IN ({listed(is_rare)}) THEN {_quoted(INFREQUENT)}"
+    return f"{sql} END"
+
+
 def fit_preparation(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
                     scale: bool = True, encode: str = "onehot",
                     min_frequency: int | None = 20) -> PipelineModel:
@@ -81,18 +110,10 @@ def fit_preparation(train: DataFrame, numeric: Sequence[str], categorical: Seque
         parts.append(f"{value} / {(scaler.scale[c] if scaler else 1.0)!r}D AS {_named(c + '_in')}")
     top = fit_modes(train, columns=categorical) if categorical else {}
     for c in categorical:
-        source = f"coalesce(CAST({_named(c)} AS STRING), {_quoted(str(top.get(c, '')))})"
+        mode = str(top.get(c, ""))
+        source = f"coalesce(CAST({_named(c)} AS STRING), {_quoted(mode)})"
         if min_frequency:
-            levels = level_table(train.na.fill({c: str(top.get(c, ''))}), c, min_frequency)
-            rows = levels.collect()
-            frequent = [_quoted(r[c]) for r in rows if r["slot"] != INFREQUENT]
-            rare = [_quoted(r[c]) for r in rows if r["slot"] == INFREQUENT]
-            cases = ""
-            if frequent:
-                cases += f" WHEN {source} IN ({', '.join(frequent)}) THEN {source}"
-            if rare:
-                cases += f" WHEN {source} IN ({', '.join(rare)}) THEN {_quoted(INFREQUENT)}"
-            source = f"CASE{cases} END"
+            source = _with_rare_levels(train.na.fill({c: mode}), c, source, min_frequency)
         parts.append(f"{source} AS {_named(c + '_level')}")
     inputs = [f"{c}_in" for c in medians]
     stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")]
@@ -129,6 +150,8 @@ def learner(kind: str, label: str, rows: float, seed: int = 42, validation: str
     those rows no longer improves.  ``C`` becomes ``1 / (C * rows)``, because
     balanced weights sum to the number of rows.
     """
+    if kind not in BASE_PARAMS:
+        raise ValueError(f"unknown learner {kind!r}: use one of {sorted(BASE_PARAMS)}")
     settings = {**BASE_PARAMS[kind], **params}
     common = {"labelCol": label, "featuresCol": FEATURES}
     if weighted:
@@ -140,12 +163,9 @@ def learner(kind: str, label: str, rows: float, seed: int = 42, validation: str
     if kind == "forest":
         return RandomForestClassifier(seed=seed, maxBins=max_bins, cacheNodeIds=True,
                                       **common, **settings)
-    if kind == "logistic":
-        strength = float(settings.pop("C"))
-        return LogisticRegression(regParam=1.0 / (strength * max(rows, 1.0)),
-                                  elasticNetParam=0.0, standardization=False,
-                                  **common, **settings)
-    raise ValueError(f"unknown learner {kind!r}: use one of {sorted(BASE_PARAMS)}")
+    strength = float(settings.pop("C"))
+    return LogisticRegression(regParam=1.0 / (strength * max(rows, 1.0)), elasticNetParam=0.0,
+                              standardization=False, **common, **settings)
 
 
 @dataclass(frozen=True)
@@ -163,6 +183,25 @@ class Candidate:
     seed: int = 42
 
 
+@contextmanager
+def held(df: DataFrame, columns: Sequence[str]):
+    """The wanted columns, computed once for many fits.
+
+    With a checkpoint folder they are written there, so a lost executor costs a
+    re-read; otherwise they stay on the executors and are recomputed if lost.
+    """
+    use_checkpoints(df)
+    narrow = df.select(*dict.fromkeys(columns))
+    if df.sparkSession.sparkContext.getCheckpointDir():
+        yield cut_lineage(narrow)
+        return
+    narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield narrow
+    finally:
+        narrow.unpersist()
+
+
 def use_checkpoints(df: DataFrame) -> None:
     """Let iterative training cut its lineage in the folder the cluster names."""
     spark = df.sparkSession
@@ -233,19 +272,17 @@ def evaluate_fit(model: PipelineModel, df: DataFrame, label: str) -> dict[str, f
 def cross_validate(candidates: Sequence[Candidate], df: DataFrame, label: str, fold: str,
                    parallelism: int = 2) -> DataFrame:
     """``(model, fold, auc)``: each fold is scored by a model fitted on the others."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        folds = sorted(r[fold] for r in df.select(fold).distinct().collect())
+    wanted = [label, fold, *[c for x in candidates for c in (*x.numeric, *x.categorical)]]
+    with held(df, wanted) as table:
+        folds = sorted(r[fold] for r in table.select(fold).distinct().collect())
 
         def run(task: tuple[Candidate, int]) -> tuple[str, int, float]:
             candidate, k = task
-            model = fit(candidate, df.where(F.col(fold) != k), label, hold_input=False)
-            return candidate.name, k, auc_of(model, df.where(F.col(fold) == k), label)
+            model = fit(candidate, table.where(F.col(fold) != k), label, hold_input=False)
+            return candidate.name, k, auc_of(model, table.where(F.col(fold) == k), label)
 
         with ThreadPool(parallelism) as pool:
             rows = pool.map(run, [(c, k) for c in candidates for k in folds])
-    finally:
-        df.unpersist()
     return df.sparkSession.createDataFrame(rows, "model string, fold int, auc double")
 
 
@@ -295,22 +332,20 @@ def search(base: Candidate, space: Mapping[str, tuple], train: DataFrame, label:
     settings = draw(space, n_trials, seed)
     judge: Callable[[PipelineModel, DataFrame, str], float] = \
         auc_of if objective == "auc" else f1_at
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    folds = sorted(r[fold] for r in train.select(fold).distinct().collect()) if fold else []
+    wanted = [label, *base.numeric, *base.categorical, *([fold] if fold else [])]
+    with held(train, wanted) as table:
+        folds = sorted(r[fold] for r in table.select(fold).distinct().collect()) if fold else []
+
+        def run(i: int) -> float:
+            trial = Candidate(**{**base.__dict__, "params": {**base.params, **settings[i]}})
+            if validate is not None:
+                return judge(fit(trial, table, label, hold_input=False), validate, label)
+            values = [judge(fit(trial, table.where(F.col(fold) != k), label, hold_input=False),
+                            table.where(F.col(fold) == k), label) for k in folds]
+            return sum(values) / len(values)
 
-    def run(i: int) -> float:
-        trial = Candidate(**{**base.__dict__, "params": {**base.params, **settings[i]}})
-        if validate is not None:
-            return judge(fit(trial, train, label, hold_input=False), validate, label)
-        values = [judge(fit(trial, train.where(F.col(fold) != k), label, hold_input=False),
-                        train.where(F.col(fold) == k), label) for k in folds]
-        return sum(values) / len(values)
-
-    try:
         with ThreadPool(parallelism) as pool:
             values = pool.map(run, range(n_trials))
-    finally:
-        train.unpersist()
     best = max(range(n_trials), key=lambda i: (values[i], -i))
     log = train.sparkSession.createDataFrame(
         [(i, {k: str(v) for k, v in s.items()}, values[i]) for i, s in enumerate(settings)],

@@ -130,19 +130,32 @@ def ranked_rows(df: DataFrame, key: str, tie: str, out: str = "rank",
 
 
 def top_rows(df: DataFrame, key: str, tie: str, n: int, out: str = "rank",
-             limit: int = 100_000) -> DataFrame:
-    """The first ``n`` rows by descending key, ranked.
+             limit: int = 2_000) -> DataFrame:
+    """The first ``n`` rows by descending key, ranked; missing keys come last.
 
-    A small ``n`` is a top-k of each task merged once; a large one goes through
-    ``ranked_rows`` and never meets in one place.
+    A small ``n`` is a top-k of each task merged once.  For a large one a sketch
+    gives a lower bound of the last wanted key, and only rows above it are ranked
+    by ``ranked_rows``, so they never meet in one place.
     """
     if n > limit:
-        return ranked_rows(df, key, tie, out).where(F.col(out) <= n)
+        return ranked_rows(_contenders(df, key, n), key, tie, out).where(F.col(out) <= n)
     order = [F.col(key).desc_nulls_last(), F.asc(tie)]
     best = df.orderBy(*order).limit(n)
     return best.withColumn(out, F.row_number().over(Window.orderBy(*order)))
 
 
+def _contenders(df: DataFrame, key: str, n: int, accuracy: int = 10_000) -> DataFrame:
+    """Rows that can be among the best ``n``; the whole table when the sketch cannot tell."""
+    total = df.agg(F.count(key).alias("n")).first()["n"]
+    share = 1.0 - n / total - 2.0 / accuracy if total else 0.0
+    if share <= 0:
+        return df
+    bound = df.agg(F.percentile_approx(number(key), share, accuracy).alias("b")).first()["b"]
+    kept = df.where(F.col(key) >= F.lit(float(bound)))
+    enough = kept.agg(F.count(F.lit(1)).alias("n")).first()["n"] >= n
+    return kept if enough else df
+
+
 @dataclass
 class _Target:
     """Search state for one order statistic of one column in one group."""

@@ -147,3 +147,24 @@ def test_anova_and_mutual_information_rank_the_useful_column_first(spark):
     assert rows(assoc.anova_f(df, ["noise", "good"], "y"))[0][0] == "good"
     mi = dict(rows(assoc.mutual_information(df, ["noise", "good"], "y", 5)))
     assert mi["good"] > mi["noise"] >= 0
+
+
+def test_wide_correlation_matches_pairwise_numpy(spark):
+    rng = np.random.default_rng(5)
+    data = rng.normal(1e6, 3.0, (400, 6))
+    data[:, 1] = data[:, 0] * 2 + rng.normal(0, 1, 400)
+    data[:, 5] = 7.0                                   # constant
+    data[rng.random((400, 6)) < .2] = np.nan
+    data[300:, 2], data[:300, 3] = np.nan, np.nan      # never present together
+    names = [f"c{i}" for i in range(6)]
+    df = spark.createDataFrame([tuple(float(v) for v in row) for row in data],
+                               ", ".join(f"{c} double" for c in names))
+    got = {(a, b): r for a, b, r in rows(assoc.correlation_pairs(df, names))}
+    assert len(got) == 15
+    for (a, b), r in got.items():
+        x, y = data[:, names.index(a)], data[:, names.index(b)]
+        ok = ~np.isnan(x) & ~np.isnan(y)
+        if ok.sum() < 2 or np.ptp(x[ok]) == 0 or np.ptp(y[ok]) == 0:
+            assert r is None, (a, b)
+        else:
+            assert r == pytest.approx(np.corrcoef(x[ok], y[ok])[0, 1], abs=1e-9), (a, b)
