@@ -14,6 +14,7 @@ over the whole table is needed:
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -33,8 +34,8 @@ def default_buckets(df: DataFrame) -> int:
     return max(2, min(4 * parts, MAX_BUCKETS))
 
 
-def sketch_edges(df: DataFrame, key: str, buckets: int) -> tuple[list[float], list[float]]:
-    """Ascending bucket edges and the frequent values among them.
+def sketch_edges(df: DataFrame, key: str, buckets: int) -> tuple[list[float], dict[float, int]]:
+    """Ascending bucket edges, and the frequent values with the steps they fill.
 
     Any monotone edges give a right result, so a sketch is good enough here; it
     only decides how even the buckets are.  A value that fills two or more of
@@ -42,10 +43,10 @@ def sketch_edges(df: DataFrame, key: str, buckets: int) -> tuple[list[float], li
     """
     probs = [i / buckets for i in range(1, buckets)]
     row = df.agg(F.percentile_approx(key, literal_array(probs), 20 * buckets).alias("e")).first()
-    steps = [float(v) for v in (row["e"] or [])]
-    frequent = sorted({a for a, b in zip(steps, steps[1:]) if a == b})
+    steps = Counter(float(v) for v in (row["e"] or []))
+    frequent = {v: n for v, n in steps.items() if n > 1}
     ends = set(steps) | {math.nextafter(v, math.inf) for v in frequent}
-    return sorted(ends), frequent
+    return sorted(e for e in ends if math.isfinite(e)), frequent
 
 
 def with_bucket(df: DataFrame, key: str, edges: Sequence[float], out: str = BUCKET) -> DataFrame:
@@ -95,35 +96,40 @@ def ranked_rows(df: DataFrame, key: str, tie: str, out: str = "rank",
                 descending: bool = True, buckets: int | None = None) -> DataFrame:
     """Append the 1-based global rank by ``key``, then by ascending numeric ``tie``.
 
-    Missing keys rank last.  A key that fills more than one bucket is cut into
-    sub-buckets along the tie-break column.
+    Missing keys rank last.  A key that fills several steps of the sketch is cut
+    along the tie-break column into about as many sub-buckets, so all buckets
+    stay even and their number stays below three times ``buckets``.  The table
+    is read more than once and must give the same rows each time.
     """
     buckets = buckets or default_buckets(df)
     sub, order_key, tie_key = "__sub", "__key", "__tie"
-    worst = -math.inf if descending else math.inf
+    value = number(key) if descending else -number(key)
     rows = df.withColumns({
-        order_key: F.coalesce(number(key), F.lit(worst)),
+        order_key: F.coalesce(value, F.lit(-math.inf)),
         tie_key: F.col(tie).cast("double"),
     })
     edges, frequent = sketch_edges(rows, order_key, buckets)
-    edges = [e for e in edges if math.isfinite(e)]
     rows = with_bucket(rows, order_key, edges)
     if frequent:
-        hot = F.col(order_key).isin([float(v) for v in frequent])
-        sub_edges, _ = sketch_edges(rows.where(hot), tie_key, buckets)
-        rows = with_bucket(rows, tie_key, sub_edges, sub).withColumn(
-            sub, F.when(hot, F.col(sub)).otherwise(F.lit(0.0)))
+        # The bucket that starts at a frequent value holds nothing else.
+        hot = rows.where(F.col(order_key).isin(list(frequent)))
+        tie_edges, _ = sketch_edges(hot, tie_key, buckets)
+        steps = [0] * (len(edges) + 1)
+        for v, n in frequent.items():
+            steps[edges.index(v) + 1 if math.isfinite(v) else 0] = n
+        share = F.get(F.array(*[F.lit(n) for n in steps]), F.col(BUCKET).cast("int"))
+        rows = with_bucket(rows, tie_key, tie_edges, sub).withColumn(
+            sub, F.floor(F.col(sub) * share / F.lit(len(tie_edges) + 1)))
     else:
-        rows = rows.withColumn(sub, F.lit(0.0))
+        rows = rows.withColumn(sub, F.lit(0).cast("bigint"))
 
-    direction = F.desc if descending else F.asc
-    earlier = Window.orderBy(direction(BUCKET), F.asc(sub)).rowsBetween(
+    earlier = Window.orderBy(F.desc(BUCKET), F.asc(sub)).rowsBetween(
         Window.unboundedPreceding, -1)
-    # At most (buckets + frequent values x sub-buckets) rows.
+    # One row per (bucket, sub-bucket), see above for their number.
     offsets = rows.groupBy(BUCKET, sub).agg(F.count(F.lit(1)).alias("n")).select(
         BUCKET, sub, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__offset"))
     inside = Window.partitionBy(BUCKET, sub).orderBy(
-        direction(order_key), F.asc(tie_key), F.asc(tie))
+        F.desc(order_key), F.asc(tie_key), F.asc(tie))
     return (rows.join(F.broadcast(offsets), [BUCKET, sub])
             .withColumn(out, F.col("__offset") + F.row_number().over(inside))
             .drop(BUCKET, sub, order_key, tie_key, "__offset"))

@@ -8,7 +8,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from outcomelab.operators.ordering import quantiles, ranked_rows, running_totals, top_rows
+from outcomelab.operators.ordering import (
+    quantiles, ranked_rows, running_totals, sketch_edges, top_rows,
+)
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.7, 0.99, 1.0]
 
@@ -77,6 +79,10 @@ def test_ranked_rows(spark, kind):
     values = sample(kind, 1000)
     rows = [(i, v) for i, v in enumerate(values)] + [(1000 + i, None) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, x double").repartition(5)
+    rising = {r["id"]: r["rank"] for r in
+              ranked_rows(df, "x", "id", descending=False, buckets=10).collect()}
+    up = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0.0, r[0]))
+    assert [rising[i] for i, _ in up] == list(range(1, len(rows) + 1))
     got = {r["id"]: r["rank"] for r in ranked_rows(df, "x", "id", buckets=10).collect()}
     order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0) if r[1] is not None else 0,
                                         r[0]))
@@ -91,6 +97,16 @@ def test_hot_key_is_spread_over_sub_buckets(spark):
     assert ranked.where(F.col("rank") == F.col("id") + 1).count() == 3000
 
 
+def test_number_of_buckets_stays_bounded(spark):
+    df = spark.range(20_000).select("id", (F.col("id") % 12).cast("double").alias("x"))
+    ranked = ranked_rows(df, "x", "id", buckets=50)
+    assert ranked.agg(F.count_distinct("rank")).first()[0] == 20_000
+    lines = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "__sub" in lines
+    _, frequent = sketch_edges(df, "x", 50)
+    assert len(frequent) == 12 and sum(frequent.values()) == 49
+
+
 def test_top_rows_small_and_large_agree(spark):
     df = spark.createDataFrame([(i, float(i % 7)) for i in range(500)], "id long, x double")
     small = top_rows(df, "x", "id", 40).orderBy("rank").collect()
