@@ -80,8 +80,11 @@ def _matrix_pairs(rows: DataFrame, columns: list[str], pairs: list[tuple[str, st
     column hardly varies are measured again by a direct aggregate.
     """
     k = len(columns)
-    first = rows.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+    first = rows.agg(F.count(F.lit(1)).alias("n"),
+                     *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
                      *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    if first["n"] < 2:
+        return dict.fromkeys(pairs)
     scaled = rows.select(*[
         ((F.col(c) - F.lit(first[f"m{i}"] or 0.0)) / F.lit(first[f"s{i}"] or 1.0)).alias(f"z{i}")
         for i, c in enumerate(columns)])

@@ -30,6 +30,8 @@ def allot(total: int, counts: Sequence[int]) -> list[int]:
     Equal remainders go to the earlier class.
     """
     n = sum(counts)
+    if not n:
+        return [0] * len(counts)
     whole = [total * c // n for c in counts]
     order = sorted(range(len(counts)), key=lambda i: (-(total * counts[i] % n), i))
     for i in order[:total - sum(whole)]:

@@ -168,3 +168,14 @@ def test_wide_correlation_matches_pairwise_numpy(spark):
             assert r is None, (a, b)
         else:
             assert r == pytest.approx(np.corrcoef(x[ok], y[ok])[0, 1], abs=1e-9), (a, b)
+
+
+def test_empty_and_one_row_tables(spark):
+    one = frame(spark, [1.0])
+    for df in (one.limit(0), one):
+        wide = df.select(*[F.col("x").alias(f"x{i}") for i in range(6)])
+        pairs = rows(assoc.correlation_pairs(wide, wide.columns))
+        assert len(pairs) == 15 and {r for _, _, r in pairs} == {None}
+        assert rows(dist.density(df, "x", "y")) == []
+        assert dist.rank_sum_test(df, "x", "y").first()["p_value"] is None
+    assert rows(bins.quantile_rate(one.limit(0), "x", "y")) == []

@@ -91,6 +91,7 @@ def test_split_sizes_follow_the_rounding_rules():
     total = [sum(s) for s in zip(*split.split_sizes([897, 100], 0.2, 0.2))]
     assert total == [math.ceil(0.2 * 997), math.ceil(0.25 * (997 - 200))]
     assert split.allot(10, [1, 1, 1]) == [4, 3, 3]
+    assert split.split_sizes([1], 0.2, 0.2) == [(1, 0)] and split.allot(0, [0]) == [0]
 
 
 def test_three_way_split_is_exact_complete_and_repeatable(spark):
