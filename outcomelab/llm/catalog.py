@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import rlz_dedup
+from . import minhash, rlz_dedup
 from .tables import table
 
 
@@ -16,8 +16,16 @@ def op8_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256")))
 
 
+def op9_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), num=85, den=100)
+    real = lambda c: F.when(F.col(c) < minhash.NO_ID, F.col(c))
+    return found.select(real("node").alias("doc_id"), "n_shingles",
+                        real("component").alias("component_id"),
+                        (F.col("node") == F.col("component")).alias("kept"))
+
+
 def queries():
-    return {f.__name__: f for f in (op8_rlz_dedup,)}
+    return {f.__name__: f for f in (op8_rlz_dedup, op9_minhash_components)}
 
 
 def oracle_sql() -> dict[str, str]:
