@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, rlz_dedup
+from . import fm_index, minhash, rlz_dedup
 from .tables import table
 
 
+def op6_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_index.contaminated_spans(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "benchmark"), keep_text=False)
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"))
+
+
 def op8_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     runs = rlz_dedup.duplicate_windows(docs)
@@ -25,7 +36,7 @@ def op9_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op8_rlz_dedup, op9_minhash_components)}
+    return {f.__name__: f for f in (op6_fm_decontaminate, op8_rlz_dedup, op9_minhash_components)}
 
 
 def oracle_sql() -> dict[str, str]:
