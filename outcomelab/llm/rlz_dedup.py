@@ -180,7 +180,8 @@ def duplicate_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     found = held(blocks(docs, doc_id, text, window, anchor), "blocks")
     me = F.struct("doc_id", "th", "place", "low", "hashes")
     reference = found.groupBy("anchor").agg(F.min(me).alias("ref"), F.count(F.lit(1)).alias("n"))
-    reference = reference.where("n > 1").select("anchor", "ref")
+    # Written, so that the join is between two plain exchanges and Spark can split a hot anchor.
+    reference = held(reference.where("n > 1").select("anchor", "ref"), "reference")
     both = found.join(reference, "anchor")
     is_ref = (F.col("doc_id").eqNullSafe(F.col("ref.doc_id")) & (F.col("th") == F.col("ref.th"))
               & (F.col("place") == F.col("ref.place")))
@@ -232,7 +233,8 @@ def duplicate_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         "anchor", "doc_id", "th", "place", "low", "mask", F.posexplode("hashes").alias("j", "hash"))
     left = left.where(F.expr("mask & shiftleft(1L, j) = 0L")).select(
         "anchor", "hash", (F.col("low") + F.col("j")).alias("offset"), "doc_id", "th", "place")
-    again = left.groupBy("anchor", "hash", "offset").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    again = held(left.groupBy("anchor", "hash", "offset").agg(F.count(F.lit(1)).alias("c"))
+                 .where("c > 1").drop("c"), "again")
     crossing = left.join(again, ["anchor", "hash", "offset"]).select(
         "doc_id", "th", (F.col("place") + F.col("offset")).cast("int").alias("start"),
         F.lit(1).alias("n"), *blank)
