@@ -5,10 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fm_index, minhash, rlz_dedup
+from . import fm_index, minhash, mixing, rlz_dedup, secrets
 from .tables import table
 
 
+def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    listed = F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+    count = lambda field, value: F.size(
+        F.filter("spans", lambda s: s[field] == value)).cast("long")
+    return found.select(
+        "doc_id", *[count("kind", k).alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"),
+        *[count("class", k).alias(f"n_{k}") for k in ("live", "weak", "example")])
+
+
+def op3_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op6_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fm_index.contaminated_spans(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -36,7 +52,8 @@ def op9_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op6_fm_decontaminate, op8_rlz_dedup, op9_minhash_components)}
+    return {f.__name__: f for f in (
+        op2_secret_ownership, op3_subset_sum_mix, op6_fm_decontaminate, op8_rlz_dedup, op9_minhash_components)}
 
 
 def oracle_sql() -> dict[str, str]:
