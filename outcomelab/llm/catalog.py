@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fm_index, minhash, mixing, rlz_dedup, secrets
+from . import fm_index, minhash, mixing, rlz_dedup, secrets, toxicity
 from .tables import table
 
 
@@ -36,6 +36,19 @@ def op6_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (hit > 0).alias("contaminated"))
 
 
+def held_out(doc_id: str = "doc_id"):
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1
+
+
+def op7_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(docs, model, keep_text=False).select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     runs = rlz_dedup.duplicate_windows(docs)
@@ -53,7 +66,8 @@ def op9_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries():
     return {f.__name__: f for f in (
-        op2_secret_ownership, op3_subset_sum_mix, op6_fm_decontaminate, op8_rlz_dedup, op9_minhash_components)}
+        op2_secret_ownership, op3_subset_sum_mix, op6_fm_decontaminate,
+        op7_subword_toxicity, op8_rlz_dedup, op9_minhash_components)}
 
 
 def oracle_sql() -> dict[str, str]:
