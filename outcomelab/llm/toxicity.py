@@ -38,6 +38,7 @@ TRAIN_TOXIC, TRAIN_CLEAN = 1500, 4500
 TRAIN_CHARS = 40_000
 #: Parts that stand in fewer training texts have no vector: they would only learn single texts.
 LEAST_TEXTS = 20
+LEAST_STEPS = 450       # a small sample is gone through more often
 EPOCHS, BATCH, RATE, SHRINK, SEED = 5, 64, 0.03, 0.025, 5
 THRESHOLD = 0.7
 
@@ -146,7 +147,9 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed
     first = [np.zeros_like(v) for v in values]
     second = [np.zeros_like(v) for v in values]
     dense = np.zeros((BATCH, width), np.float32)
-    step, steps = 0, epochs * -(-len(y) // BATCH)
+    per_epoch = -(-len(y) // BATCH)
+    epochs = max(epochs, -(-LEAST_STEPS // per_epoch))
+    step, steps = 0, epochs * per_epoch
     for _ in range(epochs):
         order = rng.permutation(len(y))
         table = vectors @ (outputs[:, 1] - outputs[:, 0])
