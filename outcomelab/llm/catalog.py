@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fm_index, minhash, mixing, rlz_dedup, secrets, toxicity
+from . import chat, fm_index, html_extract, minhash, mixing, rlz_dedup, secrets, toxicity
 from .tables import table
 
 
@@ -25,6 +25,10 @@ def op3_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op4_max_subsequence_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fm_index.contaminated_spans(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -74,7 +78,8 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries():
     return {f.__name__: f for f in (
-        op2_secret_ownership, op3_subset_sum_mix, op6_fm_decontaminate,
+        op2_secret_ownership, op3_subset_sum_mix, op4_max_subsequence_html,
+        op6_fm_decontaminate,
         op7_subword_toxicity, op8_rlz_dedup, op9_minhash_components,
         op10_chat_windows)}
 
