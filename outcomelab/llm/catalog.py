@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fm_index, html_extract, minhash, mixing, rlz_dedup, secrets, toxicity
+from . import chat, fm_index, html_extract, minhash, mixing, rabitq, rlz_dedup, secrets, toxicity
 from .tables import table
 
 
+def op1_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     listed = F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(
@@ -78,7 +82,7 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries():
     return {f.__name__: f for f in (
-        op2_secret_ownership, op3_subset_sum_mix, op4_max_subsequence_html,
+        op1_one_bit_codes, op2_secret_ownership, op3_subset_sum_mix, op4_max_subsequence_html,
         op6_fm_decontaminate,
         op7_subword_toxicity, op8_rlz_dedup, op9_minhash_components,
         op10_chat_windows)}
