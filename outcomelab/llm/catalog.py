@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fm_index, html_extract, minhash, mixing, rabitq, rlz_dedup, secrets, toxicity
+from . import chat, fm_index, html_extract, minhash, mixing, rabitq, rlz_dedup, secrets, token_counts, toxicity
 from .tables import table
 
 
@@ -33,6 +35,15 @@ def op4_max_subsequence_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
 
 
+#: Vocabulary file of op5; any file of ranks for the same pre-token pattern will do.
+RANKS = os.environ.get("TOKEN_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+
+
+def op5_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.edited_counts(table(spark, sf_dir, "documents"), RANKS,
+                                      rule=token_counts.contact_edits)
+
+
 def op6_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fm_index.contaminated_spans(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -83,7 +94,7 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries():
     return {f.__name__: f for f in (
         op1_one_bit_codes, op2_secret_ownership, op3_subset_sum_mix, op4_max_subsequence_html,
-        op6_fm_decontaminate,
+        op5_edit_aware_counts, op6_fm_decontaminate,
         op7_subword_toxicity, op8_rlz_dedup, op9_minhash_components,
         op10_chat_windows)}
 
