@@ -36,6 +36,8 @@ STRETCH = 200.0
 RUN, PAD = 256, 16
 TRAIN_TOXIC, TRAIN_CLEAN = 1500, 4500
 TRAIN_CHARS = 40_000
+#: Bytes of the sample that are cut into parts together.
+TRAIN_CHUNK = 1 << 18
 #: Parts that stand in fewer training texts have no vector: they would only learn single texts.
 LEAST_TEXTS = 20
 LEAST_STEPS = 450       # a small sample is gone through more often
@@ -80,10 +82,9 @@ def run_bounds(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.append(first[text] + k * n[text] // count[text], first[-1]), text
 
 
-def bags(column: pa.Array) -> list[list[tuple[np.ndarray, np.ndarray]]]:
-    """Buckets and their shares of the mean, for each run of each text."""
-    out = []
-    for row, end, data, base in chunks(column):
+def bags(column: pa.Array) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    """For each text: buckets and their shares of the mean, run by run."""
+    for row, end, data, base in chunks(column, TRAIN_CHUNK):
         words = split_words(data, base, NOT_ALNUM, True)
         number, offsets, buckets = word_parts(words)
         bounds, text = run_bounds(words.first)
@@ -95,8 +96,7 @@ def bags(column: pa.Array) -> list[list[tuple[np.ndarray, np.ndarray]]]:
             share = np.repeat(1 / (len(mine) + PAD) / sizes, sizes)
             found, place = np.unique(buckets[at], return_inverse=True)
             runs[d].append((found, np.bincount(place, share, len(found)).astype(np.float32)))
-        out += [r or [(np.zeros(0, np.int64), np.zeros(0, np.float32))] for r in runs]
-    return out
+        yield from (r or [(np.zeros(0, np.int64), np.zeros(0, np.float32))] for r in runs)
 
 
 @dataclass
@@ -131,13 +131,14 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed
     y = np.array(labels, np.int64)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(BUCKETS, np.float32), 0.0 if not len(y) else (50.0 if y[0] else -50.0))
-    x = bags(pa.array(texts, pa.string()))
-    texts_with = np.zeros(BUCKETS, np.int64)
-    for runs in x:
+    column = pa.array(texts, pa.string())
+    # Twice over the texts: what is kept of them are the parts that have a vector.
+    texts_with = np.zeros(BUCKETS, np.int32)
+    for runs in bags(column):
         texts_with[np.unique(np.concatenate([found for found, _ in runs]))] += 1
     known = texts_with >= min(LEAST_TEXTS, 1 + len(y) // 50)
-    column = np.cumsum(known) - 1
-    x = [[(column[found[known[found]]], share[known[found]]) for found, share in runs] for runs in x]
+    place = np.cumsum(known, dtype=np.int32) - 1
+    x = [[(place[found[known[found]]], share[known[found]]) for found, share in runs] for runs in bags(column)]
     width = int(known.sum())
     weight = (len(y) / (2 * np.bincount(y, minlength=2)))[y]
     vectors = rng.normal(0, 0.01, (width, DIMENSIONS)).astype(np.float32)
@@ -182,6 +183,17 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed
     return Model(table, float(bias[1] - bias[0]))
 
 
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bounded sample, all of it in one task, to one row with the model."""
+    texts, labels = [], []
+    for batch in batches:
+        texts += batch.column(0).to_pylist()
+        labels += batch.column(1).to_pylist()
+    model = train(texts, labels)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([model.table.tobytes()]), pa.array([model.bias])], ["table", "bias"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         label: str = "toxic", label_id: str = "doc_id") -> Model:
     """Train on a bounded sample of the labelled rows of ``docs``.
@@ -200,9 +212,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     # At most TRAIN_TOXIC + TRAIN_CLEAN rows of three numbers.
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(
         F.length("text") <= TRAIN_CHARS)
-    rows = (texts.join(F.broadcast(ids), "id").orderBy("draw", "id", "text")
-            .limit(TRAIN_TOXIC + TRAIN_CLEAN).select("text", "y").toArrow())
-    return train(rows.column("text").to_pylist(), rows.column("y").to_pylist())
+    sample = (texts.join(F.broadcast(ids), "id").orderBy("draw", "id", "text")
+              .limit(TRAIN_TOXIC + TRAIN_CLEAN).select("text", "y"))
+    model = sample.mapInArrow(_train, "table binary, bias double").first()
+    return Model(np.frombuffer(bytes(model["table"]), np.float32), model["bias"])
 
 
 def _score(shared, columns: int, keep_text: bool):
