@@ -1,20 +1,68 @@
-"""Stages of corpus cleaning, each an operator of ``outcomelab.llm``."""
+"""Stages of corpus cleaning, each an operator of ``outcomelab.llm``.
+
+Every stage takes what its predecessor kept.  All but the last return the columns of
+``documents``; the last returns the manifest of the mix, one row per document kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from outcomelab.llm import catalog, fm_index, minhash, mixing, secrets, toxicity
+from outcomelab.llm.tables import held, table
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    """``n_chars`` after a change of texts."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score ``toxicity.THRESHOLD`` or more go."""
+    labels = table(spark, sf_dir, "labels").where(~catalog.held_out())
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), out="toxicity")
+    return scored.where(F.col("toxicity") < toxicity.THRESHOLD).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that share four fifths of their shingles, the one with the smallest id stays."""
+    return minhash.keep_one(docs, held(minhash.near_duplicates(docs, num=8, den=10), "components"))
+
+
+def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages are cut out; a document goes if no word of it is left."""
+    found = fm_index.contaminated_spans(docs, table(spark, sf_dir, "benchmark"))
+    left = F.col("n_words") > F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["first"])
+    kept = found.where((F.size("spans") == 0) | left)
+    return _sized(fm_index.without_spans(kept).select(docs.columns))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Credentials are replaced; copied examples get a mark of their own."""
+    return _sized(secrets.redact_secrets(docs))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document."""
+    return mixing.mix_sources(docs)
 
-from outcomelab.llm.tables import held
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", cut_benchmark),
+    ("secrets", redact_secrets),
+    ("mixing", mix),
+]
 
-#: Model training and iterated graph steps have no SQL form; the tests use brute force.
+#: Model training, iterated graph steps and the knapsack have no SQL form; the tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each is written and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
         docs = held(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -334,3 +334,13 @@ def contaminated_spans(docs: DataFrame, items: DataFrame, text: str = "text",
                 "spans": union, "items": F.array_sort(F.array_union("__items", "items"))}
             ).drop("__spans", "__items")
     return out.withColumnRenamed(held_text, text)
+
+
+def without_spans(found: DataFrame, text: str = "text") -> DataFrame:
+    """``contaminated_spans``' rows with the spans cut out of the text; ``spans`` stay as they were."""
+    pieces = F.expr(f"""transform(sequence(0, size(spans)), i -> decode(substring(
+        encode(`{text}`, 'UTF-8'), if(i = 0, 1, spans[i - 1].high + 1),
+        if(i = size(spans), octet_length(`{text}`), get(spans, i).low)
+        - if(i = 0, 0, spans[i - 1].high)), 'UTF-8'))""")
+    return found.withColumn(text, F.when(F.size("spans") > 0, F.array_join(pieces, ""))
+                            .otherwise(F.col(f"`{text}`")))

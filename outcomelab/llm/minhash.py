@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bloom
@@ -108,11 +108,10 @@ def _sign(size: int):
     return run
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Node id and text; a row without an id gets one after all others."""
+def _node(doc_id: str, text: str) -> Column:
+    """The id of a row; without one, a number after all others."""
     other = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), 3)
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), other).alias("node"),
-                       F.col(text).alias("text"))
+    return F.coalesce(F.col(doc_id).cast("long"), other)
 
 
 def _numbers(column: pa.Array, dtype, width: int) -> np.ndarray:
@@ -283,7 +282,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ``doc_id`` (or an internal id of at least ``NO_ID``), ``component`` the smallest
     node reachable.
     """
-    keyed = _keyed(docs, doc_id, text)
+    keyed = docs.select(_node(doc_id, text).alias("node"), F.col(text).alias("text"))
     signed = held(keyed.mapInArrow(
         _sign(size), "node long, n_shingles long, set_key binary, sign binary"), "signed")
     full = signed.where("set_key IS NOT NULL")
@@ -340,10 +339,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, result: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their component, one row each, all columns.
+    """One row of ``docs`` for each component: that of its smallest id; all columns.
 
-    Of several rows that carry the id that is kept, the one with the smallest text hash stays.
+    ``result`` is what ``near_duplicates`` returned for ``docs``.  Of several rows with the
+    id that is kept, the one with the smallest text stays.  Rows without an id stand for
+    themselves where no row with an id is near.
     """
-    keyed = _keyed(docs, doc_id, text)["node"]
-    kept = result.where("node = component").select(F.col("node").alias("__node")).distinct()
-    return docs.join(kept, keyed == F.col("__node"), "left_semi")
+    nodes = held(result.where("node = component").groupBy(F.col("node").alias("__kept"))
+                 .agg(F.count(F.lit(1)).alias("__rows")), "kept")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(
+        F.struct(*columns).alias("__row"), _node(doc_id, text).alias("__node"),
+        F.col(f"`{text}`").alias("__text"))
+    once = keyed.join(nodes.where("__rows = 1").hint("shuffle_hash"),
+                      F.col("__node") == F.col("__kept"), "left_semi")
+    often = keyed.join(nodes.where("__rows > 1"), F.col("__node") == F.col("__kept"), "left_semi")
+    first = Window.partitionBy("__node").orderBy("__text")
+    often = often.withColumn("__at", F.row_number().over(first)).where("__at = 1")
+    return once.select("__row.*").unionByName(often.select("__row.*"))

@@ -215,6 +215,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     sample = (texts.join(F.broadcast(ids), "id").orderBy("draw", "id", "text")
               .limit(TRAIN_TOXIC + TRAIN_CLEAN).select("text", "y"))
     model = sample.mapInArrow(_train, "table binary, bias double").first()
+    if model is None:
+        return train([], [])
     return Model(np.frombuffer(bytes(model["table"]), np.float32), model["bias"])
 
 
