@@ -4,13 +4,15 @@ A page is a sequence of words and tags.  Words score positive and tags negative;
 linear scan finds the contiguous region with the largest sum.  The weights come from
 labelled pages, those that mark their article themselves:
 
-* a tag (by its name, and its class, id or role) costs the more, the more often it stands
-  outside the articles of the labelled pages;
-* a word is worth the log odds of being article text under the nearest marked element
-  around it, so a menu's words drop below zero and are left out inside the region too.
-
-Elements that no labelled page shows fall back to their tag name and then to a short
-list of names for what surrounds articles.  The labelled sample is bounded
+* a tag (by its name, its class, id or role, and what it stands in) costs the more, the
+  more often it stands outside the articles of the labelled pages;
+* a word is worth the log odds of being article text under the nearest marked elements
+  around it, and nothing where they are below zero: a menu's words count for no region
+  and are left out of the one that is found.
+
+Tags that no labelled page shows cost little, so a region reaches over an advert or a list
+inside an article; words in elements that no labelled page shows count unless a short list
+of names says that they surround articles.  The labelled sample is bounded
 (``SAMPLE_PAGES``); every page is extracted whole, without a shuffle.
 """
 
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 SAMPLE_PAGES = 4000
 #: Keys kept in the weight table, the most frequent first.
 MOST_KEYS = 20_000
-WORD_LIMIT, TAG_LIMIT, TAG_LEAST = 4.0, 25.0, 0.01
+WORD_LIMIT, TAG_LIMIT, TAG_LEAST, TAG_UNSEEN = 4.0, 25.0, 0.01, 0.5
 
 #: Fixed lists of HTML element names.
 RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "select", "object", "math")
@@ -62,8 +64,8 @@ _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 def tokens(html: str | None) -> Iterator[tuple[str, str, bool, bool, str]]:
     """``(key, name, is a tag, inside an article, text)`` in page order.
 
-    The key of a tag is its name with its marks; the key of a text is that of the
-    nearest marked element around it.  Comments, scripts and the like are left out.
+    The key of a text names the two nearest marked elements around it; that of a tag also
+    has its name and marks.  Comments, scripts and the like are left out.
     """
     stack: list[tuple[str, str]] = [("", "page")]       # name, key that holds for text inside
     articles = 0
@@ -83,7 +85,7 @@ def tokens(html: str | None) -> Iterator[tuple[str, str, bool, bool, str]]:
                 for gone, _ in stack[depth:]:
                     articles -= gone == "article"
                 del stack[depth:]
-            yield "/" + name, name, True, articles > 0, ""
+            yield f"{stack[-1][1]}>/{name}", name, True, articles > 0, ""
             continue
         if name in CLOSES_P or name == "p":
             # A paragraph that is still open ends here, with what was left open in it.
@@ -94,13 +96,13 @@ def tokens(html: str | None) -> Iterator[tuple[str, str, bool, bool, str]]:
                 if stack[i][0] in BLOCK:
                     break
         marks = " ".join(sorted(x for g in _MARK.findall(m[4]) for x in "".join(g).lower().split()))
-        key = f"{name}.{marks}" if marks else name
-        yield key, name, True, articles > 0, ""
+        own = f"{name}.{marks}" if marks else name
+        inner = stack[-1][1]
+        yield f"{inner}>{own}", name, True, articles > 0, ""
         if name not in VOID and not m[4].endswith("/"):
-            around = name in AROUND_ELEMENTS or bool(marks and AROUND.search(marks))
-            inner = stack[-1][1]
             if inner[0] != "!" and (marks or name in MARKED):
-                inner = ("!" if around else "") + key
+                around = name in AROUND_ELEMENTS or bool(marks and AROUND.search(marks))
+                inner = f"{'!' if around else ''}{inner.rpartition('/')[2]}/{own}"
             stack.append((name, inner))
             articles += name == "article"
     if at < len(html):
@@ -116,28 +118,20 @@ class Weights:
 
     def __init__(self, counts: dict[tuple[bool, str], tuple[int, int]]):
         self.tags, self.words = {}, {}
-        totals = np.ones((2, 2))
-        for (tag, _), n in counts.items():
-            totals[int(tag)] += n
         for (tag, key), (inside, outside) in counts.items():
             odds = np.log((inside + 0.5) / (outside + 0.5))
             if tag:
-                # Relative to the words around it: a tag is never worth anything by itself.
+                # A tag is never worth anything by itself.
                 self.tags[key] = -float(np.clip(-odds * 5, TAG_LEAST, TAG_LIMIT))
             else:
-                self.words[key] = float(np.clip(odds, -WORD_LIMIT, WORD_LIMIT))
+                self.words[key] = float(np.clip(odds, 0, WORD_LIMIT))
 
-    def tag(self, key: str, name: str) -> float:
-        got = self.tags.get(key)
-        if got is None:
-            got = self.tags.get("/" + name if key[0] == "/" else name)
-        return -1.0 if got is None else got
+    def tag(self, key: str) -> float:
+        return self.tags.get(key, -TAG_UNSEEN)
 
     def word(self, key: str) -> float:
         got = self.words.get(key)
-        if got is None:
-            got = -1.0 if is_around(key) else 1.0
-        return got
+        return float(not is_around(key)) if got is None else got
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -155,8 +149,8 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def extract(html: str | None, weights: Weights) -> str:
     """The main text: blocks joined by a line break, white space inside a block by a space."""
     found = list(tokens(html))
-    scores = [weights.tag(key, name) if tag else len(text.split()) * weights.word(key)
-              for key, name, tag, _, text in found]
+    scores = [weights.tag(key) if tag else len(text.split()) * weights.word(key)
+              for key, _, tag, _, text in found]
     start, end = best_region(scores)
     blocks, now = [], []
     for (_, name, tag, _, text), score in zip(found[start:end], scores[start:end]):
@@ -179,7 +173,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: Counter = Counter()
             articles = 0
             for key, name, tag, inside, text in tokens(html):
-                articles += tag and key.startswith("article")
+                articles += tag and name == "article" and not key.endswith(">/article")
                 n = 1 if tag else len(text.split())
                 if tag and name == "article":
                     inside = False
