@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fm_index, html_extract, minhash, mixing, rabitq, rlz_dedup, secrets, token_counts, toxicity
+from . import chat, fm_index, html_extract, minhash, mixing, oracles, rabitq, rlz_dedup, secrets, token_counts, toxicity
 from .tables import table
 
 
@@ -100,4 +100,4 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_fm_decontaminate": oracles.OP6, "op8_rlz_dedup": oracles.OP8, "op9_minhash_components": oracles.OP9}
