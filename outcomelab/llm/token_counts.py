@@ -86,6 +86,23 @@ class CountTree:
         for level in range(self.width - 1, 0, -1):
             self.sums[level] = self.sums[2 * level] + self.sums[2 * level + 1]
 
+    def to_bytes(self) -> bytes:
+        """Slot sizes, lengths and counts; the sums are made anew on reading."""
+        sizes = [len(a) for a, _ in self.slots]
+        flat = [len(sizes), *sizes, *(x for a, _ in self.slots for x in a), *(x for _, b in self.slots for x in b)]
+        return np.array(flat, np.uint32).tobytes()
+
+    @classmethod
+    def from_bytes(cls, raw: bytes) -> CountTree:
+        flat = np.frombuffer(raw, np.uint32)
+        sizes = flat[1:1 + int(flat[0])].astype(np.int64)
+        ends = np.cumsum(sizes).tolist()
+        rest = flat[1 + len(sizes):].tolist()
+        n = ends[-1] if ends else 0
+        tree = cls([], [])
+        tree._fill([(rest[end - size:end], rest[n + end - size:n + end]) for size, end in zip(sizes.tolist(), ends)])
+        return tree
+
     @property
     def chars(self) -> int:
         return int(self.sums[1, 0])
@@ -213,10 +230,7 @@ _counters: dict[int, Counter] = {}
 
 def _count(shared, rule: Callable[[str], list[Edit]] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if id(shared.value) not in _counters:
-            _counters.clear()
-            _counters[id(shared.value)] = Counter(shared.value)
-        counter = _counters[id(shared.value)]
+        counter = _counter(shared)
         for batch in batches:
             out: list[list[int]] = [[] for _ in range(6)]
             given = batch.column(2) if batch.num_columns > 2 else None
@@ -237,6 +251,64 @@ def _count(shared, rule: Callable[[str], list[Edit]] | None):
     return run
 
 
+def _counter(shared) -> Counter:
+    """One counter per worker and vocabulary."""
+    if id(shared.value) not in _counters:
+        _counters.clear()
+        _counters[id(shared.value)] = Counter(shared.value)
+    return _counters[id(shared.value)]
+
+
+def _trees(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _counter(shared)
+        for batch in batches:
+            trees = [CountTree.of(t or "", counter) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([t.tokens for t in trees], pa.int64()),
+                 pa.array([t.to_bytes() for t in trees], pa.binary())], ["doc_id", "n_tokens", "tree"])
+    return run
+
+
+def count_trees(docs: DataFrame, ranks_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, n_tokens, tree`` of every row: what is kept until its edits come."""
+    shared = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))   # MAX_RANK_BYTES at most
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(_trees(shared), f"doc_id {kind}, n_tokens long, tree binary")
+
+
+def _updates(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _counter(shared)
+        for batch in batches:
+            out: list[list] = [[], [], [], []]
+            for text, raw, edits in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3))):
+                tree, text = CountTree.from_bytes(raw), text or ""
+                edits = clean_edits([(e["start"], e["end"], e["text"] or "") for e in edits or ()], len(text))
+                text, encoded = tree.edit(text, edits, counter) if edits else (text, 0)
+                for column, x in zip(out, (text, tree.tokens, tree.to_bytes(), encoded)):
+                    column.append(x)
+            kinds = (pa.string(), pa.int64(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(x, k) for x, k in zip(out, kinds)]],
+                ["doc_id", "text", "n_tokens", "tree", "n_encoded"])
+    return run
+
+
+def update_trees(docs: DataFrame, ranks_path: str, doc_id: str = "doc_id", text: str = "text",
+                 tree: str = "tree", edits: str = "edits") -> DataFrame:
+    """``doc_id, text, n_tokens, tree, n_encoded`` after the edits of rows that carry their kept tree.
+
+    A tree must be that of the row's text.  Null edits are none; edits as in ``edited_counts``.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))   # MAX_RANK_BYTES at most
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(tree).alias("tree"),
+                       F.col(edits).alias("edits"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(_updates(shared), f"doc_id {kind}, text string, n_tokens long, tree binary, n_encoded long")
+
+
 FIELDS = ("n_pretokens", "n_tokens", "n_edits", "n_encoded", "n_pretokens_after", "n_tokens_after")
 
 
