@@ -236,11 +236,13 @@ def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embedd
     Queries are the rows of ``vectors`` with ``is_query``; candidates are all rows but
     those with the query's own id, of the same dimension.  Null ids, and vectors that
     are null, empty, zero or not finite, take no part.  Equal scores go to the smaller
-    id; a repeated id is one candidate, by its best score, and one query.
+    id; a repeated id is one candidate, by its best score, and one query, by its smallest
+    vector.
     """
     spark = vectors.sparkSession
     index, mean = build_index(vectors, vec_id, embedding, rows)
-    wanted = vectors.where(is_query).dropDuplicates([vec_id])
+    wanted = vectors.where(is_query & usable(F.col(embedding))).groupBy(vec_id).agg(
+        F.min(embedding).alias(embedding))
     queries = held(blocks(wanted, vec_id, embedding, query_rows), "queries").select(
         "dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
     # Every query block is sent to the number of every index block of its dimension.
