@@ -35,14 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import bloom
 from .tables import held
-from .words import SPACES, Words, chunks, mix, prefix_hash, span_hash, split_words
+from .words import SPACES, Words, chunks, prefix_hash, span_hash, split_words
 
 WINDOW = 35
 ANCHOR = 11
-#: Bits of the repeated-anchor filter: sixteen for each anchor, but never more than this (16 MB).
-MAX_FILTER_BITS = 1 << 27
-FILTER_PROBES = 3
+#: Bits of the repeated-anchor filter, at most.
+MAX_FILTER_BITS = bloom.MAX_BITS
 
 
 def sliding_argmin(values: np.ndarray, size: int) -> np.ndarray:
@@ -74,11 +74,6 @@ def anchored_windows(words: Words, window: int, anchor: int):
     return start, span_hash(prefix, start, start + window), place, grams[place]
 
 
-def filter_bits(anchors: np.ndarray, bits: int) -> np.ndarray:
-    """The ``FILTER_PROBES`` bit numbers of each anchor hash."""
-    return np.stack([mix(anchors, 20 + k) & np.uint64(bits - 1) for k in range(FILTER_PROBES)])
-
-
 def _anchor_counts(window: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,36 +88,12 @@ def _anchor_counts(window: int, anchor: int):
     return run
 
 
-def _filter_words(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            anchors = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            at = np.unique(filter_bits(anchors, bits))
-            word, first = np.unique(at >> np.uint64(6), return_index=True)
-            value = np.uint64(1) << (at & np.uint64(63))
-            value = np.bitwise_or.reduceat(value, first) if len(first) else value
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(word.astype(np.int64)), pa.array(value.view(np.int64))],
-                ["word", "value"])
-    return run
-
-
 def repeated_anchor_filter(docs: DataFrame, text: str, window: int, anchor: int) -> np.ndarray:
-    """A Bloom filter (uint64 words) of the anchors that stand at two places or more."""
-    spark = docs.sparkSession
+    """A Bloom filter of the anchors that stand at two places or more."""
     counted = (docs.select(F.col(text).alias("text"))
                .mapInArrow(_anchor_counts(window, anchor), "anchor long, n long")
                .groupBy("anchor").agg(F.sum("n").alias("n")))
-    repeated = held(counted.where("n > 1").select("anchor"), "anchors")
-    bits = 1 << 10
-    while bits < min(16 * repeated.count(), MAX_FILTER_BITS):
-        bits <<= 1
-    rows = (repeated.mapInArrow(_filter_words(bits), "word long, value long")
-            .groupBy("word").agg(F.bit_or("value").alias("value")))
-    out = np.zeros(bits // 64, np.uint64)
-    got = rows.toArrow()        # at most MAX_FILTER_BITS / 64 rows, whatever the input
-    out[got.column("word").to_numpy()] = got.column("value").to_numpy().view(np.uint64)
-    return out
+    return bloom.build(held(counted.where("n > 1").select("anchor"), "anchors"), MAX_FILTER_BITS)
 
 
 BLOCKS = "anchor long, doc_id long, th long, place int, low int, hashes array<long>"
@@ -136,9 +107,7 @@ def _blocks(shared, window: int, anchor: int):
             for row, _, data, base in chunks(batch.column(2)):
                 words = split_words(data, base, SPACES, False)
                 start, hashes, place, anchors = anchored_windows(words, window, anchor)
-                hit = np.ones(len(start), bool)
-                for at in filter_bits(anchors, 64 * len(bitmap)):
-                    hit &= (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)) > 0
+                hit = bloom.passes(bitmap, anchors)
                 start, hashes, place, anchors = (x[hit] for x in (start, hashes, place, anchors))
                 # A block: the windows of one anchor, at successive starts.
                 new = np.ones(len(start), bool)
