@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import NOT_ALNUM, Words, chunks, mix, split_words
+from .words import NOT_ALNUM, Words, chunks, split_words
 
 WINDOW = 10
 SHARD_BYTES = 8 << 20

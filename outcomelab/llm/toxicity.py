@@ -2,11 +2,12 @@
 
 A word is the bag of its character n-grams (with word ends marked) and itself; each
 part is hashed to one of ``BUCKETS`` vectors.  A word's vector is the mean of its
-parts; a text is cut evenly into runs of at most ``RUN`` words, a run's vector is the mean
-of its distinct words (and of ``PAD`` empty ones), and two linear outputs go through a softmax.
-A text scores as its highest run, in training too: a few words in a long text must not
-vanish in the mean, one word of a short text must not decide it, nor a repeated line.  Vectors and outputs are trained jointly in numpy, so a misspelling that was
-never seen still shares most of its parts with the word it is meant to be.
+parts; a text is cut evenly into runs of at most ``RUN`` words, a run's vector is the
+mean of its distinct words (and of ``PAD`` empty ones), and two linear outputs go
+through a softmax.  A text scores as its highest run, in training too: a few words in a
+long text must not vanish in the mean, one word of a short text must not decide it, nor
+a repeated line.  Vectors and outputs are trained jointly in numpy, so a misspelling
+that was never seen still shares most of its parts with the word it is meant to be.
 
 The training sample is bounded (``TRAIN_TOXIC`` and ``TRAIN_CLEAN`` texts of at most
 ``TRAIN_CHARS`` characters, drawn by a hash of the id).  Because everything after the
