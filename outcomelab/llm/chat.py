@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import held
+
 BUDGET, HISTORY = 512, 128
 HISTORY_TURNS = 8
 BLOCK_TURNS = 256
@@ -166,8 +168,9 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     cost = (count_tokens(F.col("text")) if tokens is None else tokens) + TURN_COST
-    rows = numbered(turns.withColumn("tokens", cost.cast("int"))).withColumn(
-        "block", F.floor(F.col("pos") / BLOCK_TURNS))
+    # Written: new turns, histories and system turns are all drawn from it.
+    rows = held(numbered(turns.withColumn("tokens", cost.cast("int"))).withColumn(
+        "block", F.floor(F.col("pos") / BLOCK_TURNS)), "turns")
     fields = ["conv_id", "block", "kind", "pos", "role", "text", "tokens"]
     new = rows.withColumn("kind", F.lit(2)).select(fields)
     # A block without turns of its own makes no window, so a last block may send its tail on.
