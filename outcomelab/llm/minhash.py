@@ -299,7 +299,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = held(bands.join(centres.where("n > 1").drop("n"), "key"), "members")
     pairs = members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
     links = linker.confirmed(held(linker.agreeing(pairs.distinct()), "proposed"))
-    found = components(copies.union(links))
+    found = held(components(copies.union(links)), "found")
 
     # The rest: buckets that still hold several components.
     side = found.select(F.col("node").alias("id"), "component")
@@ -333,7 +333,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         sets = linker.sets(proposed.select("id"))
         more = held(proposed.join(sets, "id").groupBy(*GRID).applyInArrow(
             _link_blocks(num, den), "a long, b long").distinct(), "links")
-        found = components(copies.union(links).union(more))
+        # The stars that are there, and the links between them.
+        stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = components(stars.union(more))
     return signed.select("node", "n_shingles").join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
 
@@ -348,12 +350,14 @@ def keep_one(docs: DataFrame, result: DataFrame, doc_id: str = "doc_id", text: s
     nodes = held(result.where("node = component").groupBy(F.col("node").alias("__kept"))
                  .agg(F.count(F.lit(1)).alias("__rows")), "kept")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(
-        F.struct(*columns).alias("__row"), _node(doc_id, text).alias("__node"),
-        F.col(f"`{text}`").alias("__text"))
-    once = keyed.join(nodes.where("__rows = 1").hint("shuffle_hash"),
-                      F.col("__node") == F.col("__kept"), "left_semi")
-    often = keyed.join(nodes.where("__rows > 1"), F.col("__node") == F.col("__kept"), "left_semi")
-    first = Window.partitionBy("__node").orderBy("__text")
-    often = often.withColumn("__at", F.row_number().over(first)).where("__at = 1")
+    keyed = docs.select(F.struct(*columns).alias("__row"), _node(doc_id, text).alias("__node"))
+
+    def with_rows(condition: str) -> DataFrame:
+        # Both joins read the same columns, so the rows are shuffled once.
+        some = nodes.where(condition).select("__kept").hint("shuffle_hash")
+        return keyed.join(some, F.col("__node") == F.col("__kept"), "left_semi")
+
+    once = with_rows("__rows = 1")
+    first = Window.partitionBy("__node").orderBy(F.col("__row")[text])
+    often = with_rows("__rows > 1").withColumn("__at", F.row_number().over(first)).where("__at = 1")
     return once.select("__row.*").unionByName(often.select("__row.*"))
