@@ -6,7 +6,7 @@ signs are kept, packed into bits, with correction scalars.  The inner product of
 and a query (rounded to ``QUERY_BITS`` bits per dimension) is a few ANDs and popcounts;
 divided by the code's own inner product it estimates the cosine without bias, and the
 scalars bound the error.  A vector is compared in full precision only if its upper bound
-reaches the ``k``-th largest lower bound of its block.
+reaches the ``k``-th largest lower bound of its block, each id counted once.
 
 The index is a table of blocks, and so are the queries (a stated set).  Every query
 block meets every index block by an equality join on the block number, so a task holds
@@ -210,16 +210,22 @@ def _search(shared, k: int, confidence: float):
                 c.words = np.frombuffer(words, np.uint64).reshape(-1, c.bits // 64)
                 c.norm, c.own, c.offset, c.ones = np.frombuffer(scalars, np.float64).reshape(4, -1)
                 mean = shared.value[dim]
+                # Rows of one id stand together in this order.
+                by = np.argsort(ids, kind="stable")
+                starts = np.flatnonzero(np.diff(ids[by], prepend=ids[by[0]] - 1))
                 out: list[list] = [[], [], []]
                 queries = units(np.frombuffer(q_raw, np.float64).reshape(-1, dim))
                 for q, query in zip(np.frombuffer(q_ids, np.int64), queries):
                     estimate, error = c.bounds(query, mean, confidence)
                     mine = ids == q
                     estimate[mine] = -np.inf
-                    least = np.partition(estimate - error, -k)[-k] if len(ids) > k else -np.inf
+                    lower = np.maximum.reduceat((estimate - error)[by], starts)
+                    least = np.partition(lower, -k)[-k] if len(lower) > k else -np.inf
                     near = np.flatnonzero((estimate + error >= least) & ~mine)
                     cosine = unit[near] @ query
-                    best = np.lexsort((ids[near], -cosine))[:k]
+                    best = np.lexsort((ids[near], -cosine))
+                    _, once = np.unique(ids[near][best], return_index=True)
+                    best = best[np.sort(once)[:k]]
                     out[0].append(np.full(len(best), q))
                     out[1].append(ids[near][best])
                     out[2].append(cosine[best])

@@ -52,6 +52,18 @@ def test_finds_the_nearest(spark, rows, size):
     assert hit / total >= 0.97
 
 
+@pytest.mark.parametrize("copies", [5, 40])
+def test_copies_of_a_near_id_take_one_place(spark, copies):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=24)
+    near = [(i, (base + rng.normal(size=24) * 0.02 * i).astype(np.float32).tolist()) for i in range(9)]
+    rows = near + [near[1]] * copies + [near[2]] * copies + [near[0]] * copies
+    rows += [(100 + i, rng.normal(size=24).astype(np.float32).tolist()) for i in range(60)]
+    got = r.nearest(spark.createDataFrame(rows, SCHEMA).repartition(1), F.col("vec_id") == 0).collect()
+    assert sorted(x["rank"] for x in got) == [1, 2, 3, 4, 5]
+    assert [x["vec_id"] for x in sorted(got, key=lambda x: x["rank"])] == [i for i, _ in brute(rows)[0]]
+
+
 def test_bounds_hold_and_choose_few():
     rng = np.random.default_rng(2)
     units = r.units(rng.normal(size=(4000, 64)))
