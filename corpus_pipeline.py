@@ -26,8 +26,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share four fifths of their shingles, the one with the smallest id stays."""
-    return minhash.keep_one(docs, held(minhash.near_duplicates(docs, num=8, den=10), "components"))
+    """Of documents that share four fifths of their shingles, the one with the smallest id stays.
+
+    Documents are told apart by id and text: unrelated texts with one id all stay.
+    """
+    found = held(minhash.near_duplicates(docs, num=8, den=10, by_text=True), "components")
+    return minhash.keep_one(docs, found, by_text=True)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

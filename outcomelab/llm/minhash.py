@@ -20,8 +20,9 @@ by banding.
 
 Ids: rows with one and the same ``doc_id`` count as one document; a row without one
 gets an internal id after all others and its component is null unless a row with an
-id is in it.  Null and empty texts are linked with nothing.  Other columns are not
-looked at.
+id is in it.  With ``by_text`` a document is an id and its text, so that unrelated texts
+whose ids clash are neither linked nor dropped for one another.  Null and empty texts are
+linked with nothing.  Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -114,6 +115,11 @@ def _node(doc_id: str, text: str) -> Column:
     return F.coalesce(F.col(doc_id).cast("long"), other)
 
 
+def _text_node(doc_id: str, text: str) -> Column:
+    """A hash of the id and the text of a row, either of which may be null."""
+    return F.xxhash64(F.col(doc_id).isNull(), F.col(doc_id).cast("long"), F.col(text).isNull(), F.col(text))
+
+
 def _numbers(column: pa.Array, dtype, width: int) -> np.ndarray:
     """Fixed-width binaries as rows of numbers."""
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), width)
@@ -275,14 +281,15 @@ def _link_blocks(num: int, den: int):
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    num: int = 8, den: int = 10, size: int = SHINGLE) -> DataFrame:
+                    num: int = 8, den: int = 10, size: int = SHINGLE, by_text: bool = False) -> DataFrame:
     """``node, n_shingles, component``: one row per input row.
 
     Rows are linked when ``den * |A & B| >= num * |A | B|``.  ``node`` is the
-    ``doc_id`` (or an internal id of at least ``NO_ID``), ``component`` the smallest
-    node reachable.
+    ``doc_id`` (or an internal id of at least ``NO_ID``), with ``by_text`` a hash of
+    ``doc_id`` and text; ``component`` is the smallest node reachable.
     """
-    keyed = docs.select(_node(doc_id, text).alias("node"), F.col(text).alias("text"))
+    node = (_text_node if by_text else _node)(doc_id, text)
+    keyed = docs.select(node.alias("node"), F.col(text).alias("text"))
     signed = held(keyed.mapInArrow(
         _sign(size), "node long, n_shingles long, set_key binary, sign binary"), "signed")
     full = signed.where("set_key IS NOT NULL")
@@ -340,17 +347,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "component", F.coalesce("component", "node"))
 
 
-def keep_one(docs: DataFrame, result: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, result: DataFrame, doc_id: str = "doc_id", text: str = "text",
+             by_text: bool = False) -> DataFrame:
     """One row of ``docs`` for each component: that of its smallest id; all columns.
 
-    ``result`` is what ``near_duplicates`` returned for ``docs``.  Of several rows with the
-    id that is kept, the one with the smallest text stays.  Rows without an id stand for
-    themselves where no row with an id is near.
+    ``result`` is what ``near_duplicates`` returned for ``docs`` with the same ``by_text``.
+    Of several rows with the id that is kept, the one with the smallest text stays; with
+    ``by_text`` one of those in the component, chosen by its hash.  Rows without an id
+    stand for themselves where no row with an id is near.
     """
-    nodes = held(result.where("node = component").groupBy(F.col("node").alias("__kept"))
-                 .agg(F.count(F.lit(1)).alias("__rows")), "kept")
+    node = (_text_node if by_text else _node)(doc_id, text)
+    if by_text:
+        # Nodes are hashes: the smallest id of a component is looked up.
+        ids = docs.select(node.alias("node"), F.col(doc_id).cast("long").alias("id")).distinct()
+        each = result.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n")).join(ids, "node")
+        least = each.groupBy("component").agg(
+            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node", "n")).alias("least"))
+        nodes = least.select(F.col("least.node").alias("__kept"), F.col("least.n").alias("__rows"))
+    else:
+        nodes = result.where("node = component").groupBy(F.col("node").alias("__kept")).agg(
+            F.count(F.lit(1)).alias("__rows"))
+    nodes = held(nodes, "kept")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(F.struct(*columns).alias("__row"), _node(doc_id, text).alias("__node"))
+    keyed = docs.select(F.struct(*columns).alias("__row"), node.alias("__node"))
 
     def with_rows(condition: str) -> DataFrame:
         # Both joins read the same columns, so the rows are shuffled once.

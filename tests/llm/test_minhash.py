@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from outcomelab.llm import minhash as m
 
 from .conftest import prose
@@ -80,6 +81,18 @@ def test_nulls_repeated_ids_and_clashing_names(docs_of):
     assert [r["text"] for r in kept if r["doc_id"] is None] == [prose(2, 50)]
 
 
+def test_unrelated_texts_with_one_id_all_stay(spark, docs_of):
+    rng = random.Random(6)
+    a, b, c, d = (prose(100 + k, 80) for k in range(4))
+    rows = [(0, a), (0, b), (1, c), (1, near(a, 1, rng)), (2, near(b, 1, rng)), (2, d), (2, d), (3, near(c, 1, rng)),
+            (None, near(d, 1, rng)), (None, prose(110, 80)), (4, None), (4, ""), (-7, c)]
+    docs = docs_of(rows, ["1 AS node", "2 AS component", "3 AS id", "4 AS none"])
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, None)
+    assert kept.columns == docs.columns
+    want = [(0, a), (0, b), (-7, c), (2, d), (None, prose(110, 80)), (4, None), (4, "")]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
 def test_empty_table(docs_of):
     assert m.near_duplicates(docs_of([])).count() == 0
 
