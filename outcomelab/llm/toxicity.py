@@ -10,7 +10,7 @@ a repeated line.  Vectors and outputs are trained jointly in numpy, so a misspel
 that was never seen still shares most of its parts with the word it is meant to be.
 
 The training sample is bounded (``TRAIN_TOXIC`` and ``TRAIN_CLEAN`` texts of at most
-``TRAIN_CHARS`` characters, drawn by a hash of the id).  Because everything after the
+``TRAIN_CHARS`` characters, one an id, drawn by a hash of the id).  Because everything after the
 embedding is linear, a trained model is one number per bucket; this table of fixed size
 is what is broadcast, and every whole text is scored in the executors, whatever its
 length.
@@ -200,21 +200,24 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Train on a bounded sample of the labelled rows of ``docs``.
 
     Null ids and null labels are left out; an id labelled twice counts as toxic if any
-    label says so; texts longer than ``TRAIN_CHARS`` are not drawn (they are scored).
+    label says so; null texts and texts longer than ``TRAIN_CHARS`` are not drawn (they are
+    scored), and an id is drawn once, with one of its texts, however many rows it has.
     Without labels every score is one half, with one kind of label it is that label.
     """
     y = labels.where(F.col(label_id).isNotNull() & F.col(label).isNotNull()).groupBy(
         F.col(label_id).alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
-    y = y.withColumn("draw", F.xxhash64(F.lit(SEED), "id"))
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(
+        F.length("text") <= TRAIN_CHARS).withColumn("hash", F.xxhash64("text"))
+    # Only what can be learned from is drawn.
+    usable = texts.select("id", "hash").join(y, "id").groupBy("id", "y").agg(F.min("hash").alias("hash"))
+    usable = usable.withColumn("draw", F.xxhash64(F.lit(SEED), "id"))
     ids = None
     for value, n in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN)):
-        some = y.where(F.col("y") == value).orderBy("draw", "id").limit(n)
+        some = usable.where(F.col("y") == value).orderBy("draw", "id").limit(n)
         ids = some if ids is None else ids.union(some)
-    # At most TRAIN_TOXIC + TRAIN_CLEAN rows of three numbers.
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(
-        F.length("text") <= TRAIN_CHARS)
-    sample = (texts.join(F.broadcast(ids), "id").orderBy("draw", "id", "text")
-              .limit(TRAIN_TOXIC + TRAIN_CLEAN).select("text", "y"))
+    # At most TRAIN_TOXIC + TRAIN_CLEAN rows of four numbers.
+    drawn = texts.join(F.broadcast(ids), ["id", "hash"]).groupBy("draw", "id", "y").agg(F.min("text").alias("text"))
+    sample = drawn.orderBy("draw", "id").limit(TRAIN_TOXIC + TRAIN_CLEAN).select("text", "y")
     model = sample.mapInArrow(_train, "table binary, bias double").first()
     if model is None:
         return train([], [])

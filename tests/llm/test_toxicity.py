@@ -73,6 +73,22 @@ def test_fit_and_score_tables(spark, docs_of, monkeypatch):
     assert t.score(docs.limit(0), empty).count() == 0
 
 
+def test_long_texts_and_copies_take_no_places_of_the_sample(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(t, "TRAIN_TOXIC", 10)
+    monkeypatch.setattr(t, "TRAIN_CLEAN", 30)
+    texts, y = corpus(120, 9)
+    rows, marks = list(enumerate(texts)), list(enumerate(y))
+    want = t.fit(docs_of(rows), spark.createDataFrame(marks, "doc_id long, toxic int"))
+    assert len(set(want.scores(pa.array(texts)))) > 2
+    long = [(k, f"{texts[0]} " * 200) for k in range(500, 620)]
+    assert min(len(x) for _, x in long) > t.TRAIN_CHARS
+    marks += [(k, k % 2) for k, _ in long] + [(k, k % 2) for k in range(700, 820)]
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    rows += [(k, None) for k in range(700, 820)] + long
+    got = t.fit(docs_of(rows + rows[:120] * 3), labels)
+    assert np.array_equal(got.table, want.table) and got.bias == want.bias
+
+
 def test_query_learns_from_other_rows_only(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(t, "LEAST_STEPS", 60)
     texts, y = corpus(90, 8)
