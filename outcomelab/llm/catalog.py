@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fm_index, html_extract, minhash, mixing, oracles, rabitq, rlz_dedup, secrets, token_counts, toxicity
+from . import (chat, fm_index, html_extract, minhash, mixing, oracles, pieces, rabitq, rlz_dedup, secrets,
+               token_counts, toxicity)
 from .tables import table
 
 
@@ -91,12 +92,26 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_windows(rows.unionByName(extra)))
 
 
+#: Model file of op13, of this machine; any merge-type model with byte pieces will do.
+PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op13_backtracking_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.read_model(PIECES)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs, model, keep_text=False), model)
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def queries():
     return {f.__name__: f for f in (
         op1_one_bit_codes, op2_secret_ownership, op3_subset_sum_mix, op4_max_subsequence_html,
         op5_edit_aware_counts, op6_fm_decontaminate,
         op7_subword_toxicity, op8_rlz_dedup, op9_minhash_components,
-        op10_chat_windows)}
+        op10_chat_windows, op13_backtracking_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
