@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat, fm_index, html_extract, minhash, mixing, oracles, pieces, rabitq, rlz_dedup, secrets,
-               token_counts, toxicity)
+               spelling, token_counts, toxicity)
 from .tables import table
 
 
@@ -92,6 +92,11 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_windows(rows.unionByName(extra)))
 
 
+def op12_fm_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = spelling.word_counts(table(spark, sf_dir, "documents"), slip=199)
+    return spelling.variant_groups(counted)
+
+
 #: Model file of op13, of this machine; any merge-type model with byte pieces will do.
 PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
@@ -111,7 +116,7 @@ def queries():
         op1_one_bit_codes, op2_secret_ownership, op3_subset_sum_mix, op4_max_subsequence_html,
         op5_edit_aware_counts, op6_fm_decontaminate,
         op7_subword_toxicity, op8_rlz_dedup, op9_minhash_components,
-        op10_chat_windows, op13_backtracking_pieces)}
+        op10_chat_windows, op12_fm_spelling, op13_backtracking_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
