@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, fm_index, html_extract, minhash, mixing, oracles, pieces, rabitq, rlz_dedup, secrets,
+from . import (chat, fm_index, html_extract, lexical, minhash, mixing, oracles, pieces, rabitq, rlz_dedup, secrets,
                spelling, token_counts, toxicity)
 from .tables import table
 
@@ -92,6 +92,10 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_windows(rows.unionByName(extra)))
 
 
+def op11_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_fm_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = spelling.word_counts(table(spark, sf_dir, "documents"), slip=199)
     return spelling.variant_groups(counted)
@@ -116,8 +120,10 @@ def queries():
         op1_one_bit_codes, op2_secret_ownership, op3_subset_sum_mix, op4_max_subsequence_html,
         op5_edit_aware_counts, op6_fm_decontaminate,
         op7_subword_toxicity, op8_rlz_dedup, op9_minhash_components,
-        op10_chat_windows, op12_fm_spelling, op13_backtracking_pieces)}
+        op10_chat_windows, op11_norm_buckets,
+        op12_fm_spelling, op13_backtracking_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_fm_decontaminate": oracles.OP6, "op8_rlz_dedup": oracles.OP8, "op9_minhash_components": oracles.OP9}
+    return {"op6_fm_decontaminate": oracles.OP6, "op8_rlz_dedup": oracles.OP8, "op9_minhash_components": oracles.OP9,
+            "op11_norm_buckets": oracles.OP11, "op12_fm_spelling": oracles.OP12}

@@ -63,3 +63,74 @@ SELECT doc_id, coalesce(c, 0)::BIGINT AS n_shingles, coalesce(m, doc_id) AS comp
        coalesce(m, doc_id) = doc_id AS kept
 FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least_of USING (doc_id)
 """
+
+OP11 = rf"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+term AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+    FROM benchmark),
+total AS (SELECT count(*)::BIGINT AS n_all, sum(len(w))::BIGINT AS l_all FROM doc WHERE len(w) > 0),
+tf AS (
+    SELECT doc_id, n, t, count(*)::BIGINT AS tf
+    FROM (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS t FROM doc) SEMI JOIN term USING (t) GROUP BY ALL),
+weight AS (
+    SELECT t, floor(1000 * ln((2 * n_all + 2) / (2 * count(*) + 1)))::BIGINT AS w
+    FROM tf, total GROUP BY t, n_all),
+score AS (
+    SELECT item_id, doc_id,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_all) // l_all))))::BIGINT AS score
+    FROM tf JOIN weight USING (t) JOIN term USING (t), total GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM score WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+_LOWER_RUN = "translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12 = rf"""
+WITH RECURSIVE step AS (
+    SELECT b, b::BIGINT AS v, 0 AS k FROM range(256) AS r(b)
+    UNION ALL
+    SELECT b, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, k + 1 FROM step WHERE k < 8),
+crc AS (SELECT list(v ORDER BY b) AS c FROM step WHERE k = 8),
+run AS (
+    SELECT doc_id, {_LOWER_RUN} AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+    WHERE length(run) >= 6 GROUP BY ALL),
+byte AS (SELECT doc_id, run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM run),
+hashed AS (
+    SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(
+        range(1, length(x)::BIGINT, 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT)),
+        lambda h, b: xor(h // 256, c[xor(h % 256, b) + 1])), 4294967295) AS h
+    FROM byte, crc),
+slipped AS (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+    FROM hashed),
+word AS (
+    SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (
+    SELECT DISTINCT word, n, left(word, k - 1) || substr(word, k + 1) AS rest
+    FROM word, unnest(range(1, length(word) + 1)) AS r(k)),
+pair AS (
+    SELECT a.word, b.word AS other FROM cut a JOIN word b ON a.rest = b.word
+    UNION SELECT b.word, a.word FROM cut a JOIN word b ON a.rest = b.word
+    UNION SELECT a.word, b.word FROM cut a JOIN cut b USING (rest)
+    WHERE a.word <> b.word AND len(list_filter(range(1, length(a.word) + 1),
+        lambda k: substr(a.word, k, 1) <> substr(b.word, k, 1))) = 1),
+near AS (
+    SELECT p.word, count(*)::BIGINT AS n_near, max(o.n) AS best_n, arg_min(other, (-o.n, other)) AS best
+    FROM pair p JOIN word o ON o.word = p.other GROUP BY p.word),
+formed AS (
+    SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 5 * n THEN best END AS form,
+           CASE WHEN best_n >= 5 * n THEN best_n END AS form_n
+    FROM word LEFT JOIN near USING (word)),
+way AS (
+    SELECT word, word AS root, form AS next FROM formed
+    UNION ALL
+    SELECT way.word, f.word, f.form FROM way JOIN formed f ON f.word = way.next)
+SELECT f.word, f.form, way.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN way ON way.word = f.word AND way.next IS NULL
+"""
