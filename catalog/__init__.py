@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (  # noqa: F401
-    cohorts, derived, models, preparation, ranks, scoring, shape, sources,
+    cohorts, derived, learning, models, preparation, ranks, scoring, shape, sources,
 )
 from .registry import QUERIES, SQL
 

@@ -20,7 +20,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import number
@@ -177,28 +177,29 @@ def split_gains(hist: DataFrame, p: BoostParams, *keys: str) -> DataFrame:
     ``bin`` is the last one that goes left.  Cuts that leave a side with too few rows or too
     little hessian have a null gain.
     """
-    whole = Window.partitionBy(*keys, "feature")
-    upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = hist
-    for c in ("g", "h", "n"):
-        missing = F.coalesce(F.max(F.when(F.col("bin") == 0, F.col(c))).over(whole), F.lit(0))
-        present = F.sum(F.when(F.col("bin") > 0, F.col(c)).otherwise(0)).over(upto)
-        sums = sums.withColumns({f"{c}_all": F.sum(c).over(whole), f"{c}_missing": missing, f"{c}_left": present})
-    sums = sums.where("bin > 0").withColumn("missing_left", F.explode(F.array(F.lit(True), F.lit(False))))
-    sums = sums.withColumns({
-        f"{c}_left": F.col(f"{c}_left") + F.when(F.col("missing_left"), F.col(f"{c}_missing")).otherwise(0)
-        for c in ("g", "h", "n")})
-    sums = sums.withColumns({f"{c}_right": F.col(f"{c}_all") - F.col(f"{c}_left") for c in ("g", "h", "n")})
-
-    def worth(side: str) -> Column:
-        g, h = F.col(f"g_{side}") / F.lit(float(SCALE)), F.col(f"h_{side}") / F.lit(float(SCALE))
-        kept = F.greatest(F.abs(g) - p.l1, F.lit(0.0)) if p.l1 else F.abs(g)
-        return F.coalesce(F.try_divide(kept * kept, h + p.l2), F.lit(0.0))
-
-    good = F.lit(True)
-    for side in ("left", "right"):
-        good &= (F.col(f"n_{side}") >= max(1, p.min_rows)) & (F.col(f"h_{side}") >= p.min_hessian * SCALE)
-    return sums.withColumn("gain", F.when(good, worth("left") + worth("right") - worth("all")))
+    parts = ", ".join([*keys, "feature"])
+
+    def worth(side: str) -> str:
+        g, h = f"(g_{side} / {float(SCALE)}D)", f"(h_{side} / {float(SCALE)}D)"
+        kept = f"greatest(abs({g}) - {float(p.l1)!r}D, 0D)" if p.l1 else f"abs({g})"
+        return f"coalesce(try_divide({kept} * {kept}, {h} + {float(p.l2)!r}D), 0D)"
+
+    each = lambda text: ", ".join(text.format(c=c) for c in "ghn")
+    good = " AND ".join(f"n_{s} >= {max(1, p.min_rows)} AND h_{s} >= {p.min_hessian * SCALE!r}D" for s in ("left", "right"))
+    return hist.sparkSession.sql(f"""
+        WITH sums AS (
+          SELECT {parts}, bin, {each('sum({c}) OVER whole AS {c}_all')},
+                 {each('coalesce(max(CASE WHEN bin = 0 THEN {c} END) OVER whole, 0) AS {c}_missing')},
+                 {each('sum(CASE WHEN bin > 0 THEN {c} ELSE 0 END) OVER upto AS {c}_present')}
+          FROM {{hist}} WINDOW whole AS (PARTITION BY {parts}), upto AS (PARTITION BY {parts} ORDER BY bin
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+        sides AS (
+          SELECT {parts}, bin, missing_left, {each('{c}_all')},
+                 {each('{c}_present + CASE WHEN missing_left THEN {c}_missing ELSE 0 END AS {c}_left')},
+                 {each('{c}_all - {c}_present - CASE WHEN missing_left THEN {c}_missing ELSE 0 END AS {c}_right')}
+          FROM sums LATERAL VIEW explode(array(true, false)) AS missing_left WHERE bin > 0)
+        SELECT *, CASE WHEN {good} THEN {worth('left')} + {worth('right')} - {worth('all')} END AS gain
+        FROM sides""", hist=hist)
 
 
 def best_splits(gains: DataFrame, p: BoostParams, *keys: str) -> DataFrame:
@@ -279,10 +280,11 @@ class _Tree:
 
 
 def grow_tree(rows: DataFrame, p: BoostParams, features: Sequence[int] | None = None) -> list[dict]:
-    """One tree for rows with ``bins`` and integer ``g, h``; ``features`` limits the numbers used."""
-    total = rows.agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("n")).first()
-    tree = _Tree(Node(1, 0, (total["g"] or 0) / SCALE, (total["h"] or 0) / SCALE, total["n"],
-                      known=p.depth < 1), p)
+    """One tree for rows with ``bins`` and integer ``g, h``; ``features`` limits the numbers used.
+
+    A table without a good split gives a single leaf, whose sums are not looked up.
+    """
+    tree = _Tree(Node(1, 0, 0.0, 0.0, 0, known=p.depth < 1), p)
     while True:
         leaves, done = tree.leaves()
         if done:
@@ -298,6 +300,10 @@ def grow_tree(rows: DataFrame, p: BoostParams, features: Sequence[int] | None =
                  best_splits(split_gains(hist, p, "leaf"), p, "leaf").collect()}
         for k in wanted:
             tree.nodes[k].best, tree.nodes[k].known = found.get(k), True
+        if found.get(1):                    # the root's sums are those of its two sides
+            b = found[1]
+            tree.nodes[1].grad, tree.nodes[1].hess = ((b[f"{c}_left"] + b[f"{c}_right"]) / SCALE for c in "gh")
+            tree.nodes[1].rows = b["n_left"] + b["n_right"]
 
 
 def _metric(table: DataFrame, p: BoostParams) -> float:

@@ -85,10 +85,11 @@ def classification_report(df: DataFrame, label: str, pred: str,
     return confusion_counts(df, label, pred).select(F.inline(F.array(*rows)))
 
 
-def _score_totals(df: DataFrame, label: str, score: str, descending: bool) -> DataFrame:
+def _score_totals(df: DataFrame, label: str, score: str, descending: bool,
+                  following: bool = False) -> DataFrame:
     y = F.col(label)
     return running_totals(df.where(y.isin(0, 1)), score, {
-        "pos": (y == 1).cast("bigint"), "neg": (y == 0).cast("bigint")}, descending)
+        "pos": (y == 1).cast("bigint"), "neg": (y == 0).cast("bigint")}, descending, following=following)
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -99,12 +100,17 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
         pairs, F.max("pos_total").cast("double") * F.max("neg_total")).alias("auc"))
 
 
-def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
+def roc_points(df: DataFrame, label: str, score: str, thinned: bool = False) -> DataFrame:
     """``(threshold, fpr, tpr)`` at every distinct score, counting scores at or above it.
 
-    The starting point (0, 0) has an infinite threshold.  Collinear points are kept.
+    The starting point (0, 0) has an infinite threshold.  With ``thinned``, points whose
+    next step repeats their own are left out (the first and the last stay): they lie on
+    the line between their neighbours, so the area is the same.
     """
-    t = _score_totals(df, label, score, descending=True)
+    t = _score_totals(df, label, score, descending=True, following=thinned)
+    if thinned:
+        ends = F.col("pos_next").isNull() | ((F.col("pos_before") == 0) & (F.col("neg_before") == 0))
+        t = t.where(ends | (F.col("pos_next") != F.col("pos")) | (F.col("neg_next") != F.col("neg")))
     points = t.select(
         F.col(score).alias("threshold"),
         F.try_divide(F.col("neg_before") + F.col("neg"), F.col("neg_total")).alias("fpr"),

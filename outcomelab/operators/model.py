@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -65,31 +66,43 @@ def _named(column: str) -> str:
     return f"`{column}`"
 
 
-def _with_rare_levels(train: DataFrame, column: str, source: str, min_frequency: int) -> str:
+def _with_rare_levels(train: DataFrame, column: str, source: str,
+                      min_frequency: int) -> tuple[str, str]:
     """SQL that keeps frequent levels, merges rare ones and leaves unseen ones NULL.
 
-    Frequent levels become vector slots, so their number is checked before they
-    are brought to the driver.  When there are too many rare levels to list,
-    every other level, unseen ones included, counts as rare.
+    The second part is a join the SQL needs, or empty: the rare levels are listed in the
+    SQL up to ``MAX_LEVELS`` of them, and written to a table of the shared folder beyond
+    that, with the same result.  Frequent levels are vector slots, so the vector's width
+    bounds them; it is checked before they are brought to the driver.
     """
-    levels = level_table(train, column, min_frequency)
-    is_rare = F.col("slot") == INFREQUENT
-    sizes = levels.agg(F.count_if(~is_rare).alias("kept"), F.count_if(is_rare).alias("rare")).first()
-    if sizes["kept"] > MAX_LEVELS:
-        raise ValueError(f"{column} has {sizes['kept']} frequent levels, more than {MAX_LEVELS} "
-                         "vector slots: raise min_frequency or leave the column out")
-
-    def listed(which) -> str:
-        return ", ".join(sorted(_quoted(r[column]) for r in levels.where(which).collect()))
-
-    sql = "CASE"
-    if sizes["kept"]:
-        sql += f" WHEN {source} IN ({listed(~is_rare)}) THEN {source}"
-    if sizes["rare"] > MAX_LEVELS:
-        return f"{sql} ELSE {_quoted(INFREQUENT)} END"
-    if sizes["rare"]:
-        sql += f" WHEN {source} IN ({listed(is_rare)}) THEN {_quoted(INFREQUENT)}"
-    return f"{sql} END"
+    levels = level_table(train, column, min_frequency).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        is_rare = F.col("slot") == INFREQUENT
+        frequent, rare = ([r[column] for r in levels.where(which).limit(MAX_LEVELS + 1).collect()]
+                          for which in (~is_rare, is_rare))
+        if len(frequent) > MAX_LEVELS:
+            raise ValueError(f"{column} has more than {MAX_LEVELS} frequent levels, a vector slot each: "
+                             "raise min_frequency, or encode the column by its target statistic")
+        sql, join = "CASE WHEN false THEN ''", ""
+        if frequent:
+            sql += f" WHEN {source} IN ({', '.join(sorted(map(_quoted, frequent)))}) THEN {source}"
+        if len(rare) > MAX_LEVELS:
+            path = f"{_shared_folder(train)}/levels-{uuid.uuid4().hex}"
+            known = f"`__rare_{column}`"
+            levels.where(is_rare).select(F.col(column).cast("string").alias("level")).write.parquet(path)
+            join = f" LEFT JOIN (SELECT level AS {known} FROM parquet.`{path}`) ON {source} = {known}"
+            sql += f" WHEN {known} IS NOT NULL THEN {_quoted(INFREQUENT)}"
+        elif rare:
+            sql += f" WHEN {source} IN ({', '.join(sorted(map(_quoted, rare)))}) THEN {_quoted(INFREQUENT)}"
+        return f"{sql} END", join
+    finally:
+        levels.unpersist()
+
+
+def _shared_folder(df: DataFrame) -> str:
+    """The cluster's checkpoint folder; the warehouse where that is unset."""
+    conf = df.sparkSession.conf
+    return (conf.get("spark.checkpoint.dir", None) or conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def fit_preparation(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
@@ -108,15 +121,16 @@ def fit_preparation(train: DataFrame, numeric: Sequence[str], categorical: Seque
     for c, v in medians.items():
         value = f"coalesce(nanvl(CAST({_named(c)} AS DOUBLE), NULL), {v!r}D)"
         parts.append(f"{value} / {(scaler.scale[c] if scaler else 1.0)!r}D AS {_named(c + '_in')}")
-    top = fit_modes(train, columns=categorical) if categorical else {}
+    top, joins = fit_modes(train, columns=categorical) if categorical else {}, ""
     for c in categorical:
         mode = str(top.get(c, ""))
         source = f"coalesce(CAST({_named(c)} AS STRING), {_quoted(mode)})"
         if min_frequency:
-            source = _with_rare_levels(train.na.fill({c: mode}), c, source, min_frequency)
+            source, join = _with_rare_levels(train.na.fill({c: mode}), c, source, min_frequency)
+            joins += join
         parts.append(f"{source} AS {_named(c + '_level')}")
     inputs = [f"{c}_in" for c in medians]
-    stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")]
+    stages: list = [SQLTransformer(statement=f"SELECT __THIS__.*, {', '.join(parts)} FROM __THIS__{joins}")]
     if categorical:
         stages.append(StringIndexer(
             inputCols=[f"{c}_level" for c in categorical],

@@ -58,12 +58,15 @@ def with_bucket(df: DataFrame, key: str, edges: Sequence[float], out: str = BUCK
 
 
 def running_totals(df: DataFrame, key: str, measures: Mapping[str, Column],
-                   descending: bool = False, buckets: int | None = None) -> DataFrame:
+                   descending: bool = False, buckets: int | None = None,
+                   following: bool = False) -> DataFrame:
     """Per distinct key: each measure, its running sum and its grand total.
 
     Returns ``key, m, m_before, m_total`` for every measure ``m``, where
     ``m_before`` sums the rows with a strictly smaller (or, descending, larger)
-    key.  Rows with a missing key are left out.
+    key.  With ``following`` also ``m_next``, the measure at the next key (null at
+    the last), which a bucket's last key takes from the next bucket that holds any.
+    Rows with a missing key are left out.
     """
     names = list(measures)
     rows = df.select(number(key).alias(key), *[c.alias(m) for m, c in measures.items()])
@@ -76,8 +79,13 @@ def running_totals(df: DataFrame, key: str, measures: Mapping[str, Column],
     everything = Window.orderBy(BUCKET).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
     # One row per bucket: at most len(edges) + 1 rows, whatever the table size.
-    offsets = values.groupBy(BUCKET).agg(*[F.sum(m).alias(m) for m in names]).select(
+    first = F.max_by if descending else F.min_by
+    onward = Window.orderBy(direction(BUCKET))
+    offsets = values.groupBy(BUCKET).agg(
+        *[F.sum(m).alias(m) for m in names],
+        *[first(m, key).alias(f"{m}_first") for m in names if following]).select(
         BUCKET,
+        *[F.lead(f"{m}_first").over(onward).alias(f"{m}_onward") for m in names if following],
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"{m}_offset") for m in names],
         *[F.sum(m).over(everything).alias(f"{m}_total") for m in names],
     )
@@ -89,6 +97,8 @@ def running_totals(df: DataFrame, key: str, measures: Mapping[str, Column],
         *[(F.col(f"{m}_offset") + F.coalesce(F.sum(m).over(inside), F.lit(0))).alias(f"{m}_before")
           for m in names],
         *[f"{m}_total" for m in names],
+        *[F.coalesce(F.lead(m).over(Window.partitionBy(BUCKET).orderBy(direction(key))),
+                     F.col(f"{m}_onward")).alias(f"{m}_next") for m in names if following],
     )
 
 

@@ -21,7 +21,8 @@ AFTER_ALL = "g"        # sorts after every hex digit
 
 
 def row_hash(id_column: str, seed: int) -> Column:
-    return F.md5(F.concat(F.col(id_column).cast("string"), F.lit(f"|{seed}")))
+    """Salted hash of an id; all missing ids count as one id, the empty text."""
+    return F.md5(F.concat(F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit(f"|{seed}")))
 
 
 def allot(total: int, counts: Sequence[int]) -> list[int]:

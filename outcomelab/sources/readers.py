@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +13,6 @@ from ..operators.shape import missing_as_null, require_columns
 # Tried in this order.  The UTF-8 reader drops a byte-order mark by itself, and
 # ISO-8859-1 accepts any byte, so nothing after it could ever be reached.
 ENCODINGS = ("UTF-8", "ISO-8859-1")
-REPLACEMENT = "�"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
@@ -48,19 +46,33 @@ def read_pair(spark: SparkSession, folder: str, schema: T.StructType | None = No
     return train, test
 
 
+def _damaged(lines: DataFrame, encoding: str) -> Column:
+    """Whether the raw bytes of ``value`` cannot be text of the encoding."""
+    name = encoding.lower().replace("_", "-")
+    if name in ("utf-8", "utf8", "utf-8-sig"):
+        return ~F.is_valid_utf8("value")
+    if name in ("iso-8859-1", "latin1", "latin-1"):
+        return F.lit(False)
+    one_to_one = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    if name in ("us-ascii", "ascii"):
+        return one_to_one.rlike("[^\\x00-\\x7F]")
+    if name in ("windows-1252", "cp1252"):
+        return one_to_one.rlike("[\\x81\\x8D\\x8F\\x90\\x9D]")
+    raise ValueError(f"no byte check for {encoding}")
+
+
 def detect_encoding(spark: SparkSession, path: str,
                     encodings: Sequence[str] = ENCODINGS) -> str:
-    """The first encoding that decodes every line.
+    """The first encoding whose rules the bytes of the whole file keep.
 
-    Spark replaces undecodable bytes instead of failing, so a candidate is
-    rejected when a distributed scan finds the replacement character.
+    A distributed scan looks at raw bytes, not at decoded text, so a character that
+    merely looks like a decoding mark is no error and any bad byte is found.  Lines are
+    read by any number of tasks: a line end never lies inside a character of these
+    encodings, so no state has to pass from one line, or split, to the next.
     """
+    lines = spark.read.text(path)
     for encoding in encodings:
-        table = (spark.read.option("header", False).option("encoding", encoding).csv(path))
-        damaged = reduce(lambda a, b: a | b, [
-            F.coalesce(F.col(f"`{c}`").contains(REPLACEMENT), F.lit(False))
-            for c in table.columns])
-        if not table.where(damaged).limit(1).collect():
+        if not lines.where(_damaged(lines, encoding)).limit(1).collect():
             return encoding
     raise ValueError(f"none of {list(encodings)} decodes {path}")
 

@@ -147,3 +147,22 @@ def test_full_experiment_and_comparison(table, tmp_path):
         [candidate("logistic"), candidate("forest")], folds=2)
     assert name in ("logistic", "forest") and scores.count() == 4
     assert handed_in.count() == part(table, "test").count()
+
+
+def test_one_rule_for_unseen_levels_however_many_rare_ones(spark, table, monkeypatch):
+    """Listed in the SQL or joined from a table: rare is rare, unseen is nothing."""
+    odd = spark.createDataFrame([(1.0, 0.5, k) for k in ("never seen", "rare", "it's odd", None)],
+                                "x double, z double, k string")
+    train = part(table, "train").withColumn("k", F.when(F.col("id") % 4 != 1, F.col("k")).otherwise(
+        F.concat(F.lit("own "), "id")))
+    found = []
+    for limit in (10_000, 3):
+        monkeypatch.setattr(M, "MAX_LEVELS", limit)
+        prep = M.fit_preparation(train, NUMERIC, ("k",), min_frequency=20)
+        names = M.feature_names(prep, train)
+        assert names[2:] == sorted(names[2:]) and len(names) == 5
+        found.append([r["features"].toArray()[2:].tolist() for r in prep.transform(odd).collect()])
+    assert sum(found[0][0]) == 0 and sum(sum(v) for v in found[0]) == 3
+    assert sorted(found[0]) == sorted(found[1])
+    joined = prep.transform(train.withColumn("extra", F.lit(1)))
+    assert joined.count() == train.count() and "__rare_k" not in joined.columns
