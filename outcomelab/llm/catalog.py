@@ -77,11 +77,7 @@ def op8_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), num=85, den=100)
-    real = lambda c: F.when(F.col(c) < minhash.NO_ID, F.col(c))
-    return found.select(real("node").alias("doc_id"), "n_shingles",
-                        real("component").alias("component_id"),
-                        (F.col("node") == F.col("component")).alias("kept"))
+    return minhash.document_components(table(spark, sf_dir, "documents"), num=85, den=100)
 
 
 def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

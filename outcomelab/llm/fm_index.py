@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from .words import NOT_ALNUM, Words, chunks, split_words
 
 WINDOW = 10
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 SAMPLE = 16
-PHRASE_WORDS = 1 << 21
+PHRASE_WORDS = 1 << 19
 GAP, END = 1, 0     # symbols: separator, end of the shard; test words come after them
 
 
@@ -163,18 +163,25 @@ class Phrases:
         self.vocabulary = np.unique(flat)
         numbers = np.searchsorted(self.vocabulary, flat) + 2
         self.bits = max(2, int(len(self.vocabulary) + 1).bit_length())
-        self.items, owners = items, {}
-        for k in range(len(items)):
-            low, high = first[k], first[k + 1]
-            if high > low:
-                for i in range(low, max(low, high - window) + 1):
-                    owners.setdefault(tuple(numbers[i:min(i + window, high)].tolist()), set()).add(k)
-        self.lengths = np.array([len(w) for w in owners], np.int64)
-        self.table = np.zeros((len(owners), window), np.int64)
-        for r, w in enumerate(owners):
-            self.table[r, window - len(w):] = w
-        self.owners = [sorted(o) for o in owners.values()]
-        self.shortest = int(self.lengths.min()) if len(owners) else 0
+        self.items = items
+        first = np.array(first, np.int64)
+        size = np.diff(first)
+        # Every window of every item, padded on the left; then each distinct one with its items.
+        windows = np.where(size > 0, np.maximum(size - window, 0) + 1, 0)
+        item = np.repeat(np.arange(len(items)), windows)
+        begin = np.arange(len(item)) - (np.cumsum(windows) - windows)[item] + first[:-1][item]
+        length = np.minimum(size, window)[item]
+        column = np.arange(window)[None, :] - (window - length)[:, None]
+        rows = np.where(column >= 0, numbers[np.minimum(begin[:, None] + np.maximum(column, 0), max(0, len(numbers) - 1))]
+                        if len(numbers) else 0, 0).astype(np.int32)
+        order = np.lexsort(rows.T[::-1])
+        rows, item, length = rows[order], item[order], length[order]
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+        self.table, self.lengths = rows[new].astype(np.int64), length[new].astype(np.int64)
+        #: Numbers of the items that own each phrase, in a row; ``edges`` cut it.
+        self.owner, self.edges = item, np.append(np.flatnonzero(new), len(item))
+        self.shortest = int(self.lengths.min()) if len(self.lengths) else 0
         slot = self.vocabulary >> np.uint64(44)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[slot] = True
@@ -270,7 +277,7 @@ def _scan(shared, columns: int, keep_text: bool):
                         (a - zero, b - zero, int(words.starts[a]) - at, int(words.ends[b - 1]) - at)
                         for a, b in merged(first[mine], stop[mine])] if len(mine) else [])
                     items.append(sorted({phrases.items[k] for w in set(which[mine].tolist())
-                                         for k in phrases.owners[w]}))
+                                         for k in phrases.owner[phrases.edges[w]:phrases.edges[w + 1]].tolist()}))
                 yield pa.RecordBatch.from_arrays([
                     *[batch.column(c).slice(row, end - row) for c in range(kept)],
                     pa.array(np.diff(words.first)), pa.array(
@@ -281,9 +288,9 @@ def _scan(shared, columns: int, keep_text: bool):
 
 
 def phrase_blocks(items: DataFrame, item_id: str, text: str, limit: int) -> list[DataFrame]:
-    """The test items in blocks of about ``limit`` words."""
+    """The distinct test items in blocks of about ``limit`` words; one item is never cut."""
     rows = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"),
-                        F.col(text).alias("text")).where("text IS NOT NULL")
+                        F.col(text).alias("text")).where("text IS NOT NULL").distinct()
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = 1 + int(total) // (limit * 2)       # a word and its separator: two characters at least
     return [rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) for k in range(n)]

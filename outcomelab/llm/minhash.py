@@ -46,7 +46,6 @@ HASHES = BANDS * ROWS
 ERRORS = 5.0
 #: Members of a bucket that one task compares at a time.
 BLOCK = 512
-NO_ID = 1 << 62
 GRID = ["key", "block", "visit"]
 
 _rng = np.random.Generator(np.random.PCG64(20))
@@ -110,12 +109,6 @@ def _sign(size: int):
 
 
 def _node(doc_id: str, text: str) -> Column:
-    """The id of a row; without one, a number after all others."""
-    other = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), 3)
-    return F.coalesce(F.col(doc_id).cast("long"), other)
-
-
-def _text_node(doc_id: str, text: str) -> Column:
     """A hash of the id and the text of a row, either of which may be null."""
     return F.xxhash64(F.col(doc_id).isNull(), F.col(doc_id).cast("long"), F.col(text).isNull(), F.col(text))
 
@@ -281,15 +274,15 @@ def _link_blocks(num: int, den: int):
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    num: int = 8, den: int = 10, size: int = SHINGLE, by_text: bool = False) -> DataFrame:
+                    num: int = 8, den: int = 10, size: int = SHINGLE,
+                    same_id: DataFrame | None = None) -> DataFrame:
     """``node, n_shingles, component``: one row per input row.
 
-    Rows are linked when ``den * |A & B| >= num * |A | B|``.  ``node`` is the
-    ``doc_id`` (or an internal id of at least ``NO_ID``), with ``by_text`` a hash of
-    ``doc_id`` and text; ``component`` is the smallest node reachable.
+    Rows are linked when ``den * |A & B| >= num * |A | B|``.  ``node`` is a hash of the
+    row's ``doc_id`` and text, so texts that share an id are told apart; ``component`` is
+    the smallest node reachable.  ``same_id`` adds links ``a, b`` between nodes.
     """
-    node = (_text_node if by_text else _node)(doc_id, text)
-    keyed = docs.select(node.alias("node"), F.col(text).alias("text"))
+    keyed = docs.select(_node(doc_id, text).alias("node"), F.col(text).alias("text"))
     signed = held(keyed.mapInArrow(
         _sign(size), "node long, n_shingles long, set_key binary, sign binary"), "signed")
     full = signed.where("set_key IS NOT NULL")
@@ -306,9 +299,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = held(bands.join(centres.where("n > 1").drop("n"), "key"), "members")
     pairs = members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
     links = linker.confirmed(held(linker.agreeing(pairs.distinct()), "proposed"))
-    found = held(components(copies.union(links)), "found")
+    known = copies.union(links) if same_id is None else copies.union(links).union(same_id)
+    found = held(components(known), "found")
 
     # The rest: buckets that still hold several components.
+    # Links by id alone are no reason to compare less: they join what is compared anyway.
     side = found.select(F.col("node").alias("id"), "component")
     placed = members.select("key", "id").join(side, "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
@@ -347,27 +342,40 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "component", F.coalesce("component", "node"))
 
 
-def keep_one(docs: DataFrame, result: DataFrame, doc_id: str = "doc_id", text: str = "text",
-             by_text: bool = False) -> DataFrame:
-    """One row of ``docs`` for each component: that of its smallest id; all columns.
+def document_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                        num: int = 8, den: int = 10, size: int = SHINGLE) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept``: one row per input row.
 
-    ``result`` is what ``near_duplicates`` returned for ``docs`` with the same ``by_text``.
-    Of several rows with the id that is kept, the one with the smallest text stays; with
-    ``by_text`` one of those in the component, chosen by its hash.  Rows without an id
-    stand for themselves where no row with an id is near.
+    Rows with one ``doc_id`` are one document of the graph, whatever their texts, and each
+    gets its own row.  ``component_id`` is the smallest id reachable (any 64-bit number).
+    A row without an id stands for itself; its ``component_id`` is null where no row with
+    an id is near.  ``kept``: the two ids are equal, or both null.
+    """
+    ids = held(docs.select(_node(doc_id, text).alias("node"), F.col(doc_id).cast("long").alias("doc_id")).distinct(),
+               "ids")
+    hubs = ids.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    same = ids.join(hubs, "doc_id").where("node <> b").select(F.col("node").alias("a"), "b")
+    found = held(near_duplicates(docs, doc_id, text, num, den, size, same), "components").join(ids, "node")
+    least = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return found.join(least, "component").select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, result: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component: one of its smallest id; all columns.
+
+    ``result`` is what ``near_duplicates`` returned for ``docs``.  Of several texts with
+    the id that is kept, the one with the smallest hash stays, and of equal rows one.
+    Rows without an id stand for themselves where no row with an id is near.
     """
-    node = (_text_node if by_text else _node)(doc_id, text)
-    if by_text:
-        # Nodes are hashes: the smallest id of a component is looked up.
-        ids = docs.select(node.alias("node"), F.col(doc_id).cast("long").alias("id")).distinct()
-        each = result.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n")).join(ids, "node")
-        least = each.groupBy("component").agg(
-            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node", "n")).alias("least"))
-        nodes = least.select(F.col("least.node").alias("__kept"), F.col("least.n").alias("__rows"))
-    else:
-        nodes = result.where("node = component").groupBy(F.col("node").alias("__kept")).agg(
-            F.count(F.lit(1)).alias("__rows"))
-    nodes = held(nodes, "kept")
+    node = _node(doc_id, text)
+    # Nodes are hashes: the smallest id of a component is looked up.
+    ids = docs.select(node.alias("node"), F.col(doc_id).cast("long").alias("id")).distinct()
+    each = result.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n")).join(ids, "node")
+    least = each.groupBy("component").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node", "n")).alias("least"))
+    nodes = held(least.select(F.col("least.node").alias("__kept"), F.col("least.n").alias("__rows")), "kept")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     keyed = docs.select(F.struct(*columns).alias("__row"), node.alias("__node"))
 

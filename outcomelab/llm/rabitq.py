@@ -222,7 +222,8 @@ def _search(shared, k: int, confidence: float):
                     lower = np.maximum.reduceat((estimate - error)[by], starts)
                     least = np.partition(lower, -k)[-k] if len(lower) > k else -np.inf
                     near = np.flatnonzero((estimate + error >= least) & ~mine)
-                    cosine = unit[near] @ query
+                    # Row by row: equal vectors get equal bits wherever they stand.
+                    cosine = (unit[near] * query).sum(axis=1)
                     best = np.lexsort((ids[near], -cosine))
                     _, once = np.unique(ids[near][best], return_index=True)
                     best = best[np.sort(once)[:k]]

@@ -54,10 +54,11 @@ def word_parts(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     distinct, example, number = np.unique(words.hashes, return_index=True, return_inverse=True)
     starts, ends = words.starts[example], words.ends[example]
     prefix = prefix_hash(_LOWER_VALUES[words.data])
+    whole = span_hash(prefix, starts, ends)
     begins = np.flatnonzero((words.data & 0xC0) != 0x80)        # characters
     begins = np.append(begins, len(words.data))
     low, high = np.searchsorted(begins, starts), np.searchsorted(begins, ends)
-    owner, key = [np.arange(len(distinct))], [mix(distinct, 90)]
+    owner, key = [np.arange(len(distinct))], [mix(whole, 90)]
     for n in GRAMS:
         counts = np.maximum(high - low - n + 1, 0)
         at = np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())

@@ -1,12 +1,14 @@
 """Words and their hashes for many texts at once, on UTF-8 bytes with numpy.
 
 A text is never turned into a list of Python strings: separators are found with a
-byte table, and a word's 64-bit hash is a difference of prefix sums.  All three
+byte table, and a word's 64-bit hash is mixed from its bytes, eight at a time.  Hashes
+of runs of words (or of a few characters) are differences of prefix sums.  All three
 alphabets below split at ASCII bytes only, so no code point is ever cut.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,6 +55,32 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
+#: Longer words are hashed one by one, by a library's cryptographic function.
+LONG_WORD = 256
+_TAILS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ``data[starts:ends]``: every eight bytes are mixed into the state.
+
+    No linear function of the bytes: words built to meet under a polynomial hash differ.
+    """
+    size = ends - starts
+    hashes = mix(size.astype(np.uint64), 3)
+    eight = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, np.uint8)]), 8)
+    at = np.flatnonzero((size > 0) & (size <= LONG_WORD))
+    for offset in range(0, LONG_WORD, 8):
+        at = at[size[at] > offset]
+        if not len(at):
+            break
+        chunk = eight[starts[at] + offset].view(np.uint64).ravel() & _TAILS[np.minimum(size[at] - offset, 8)]
+        hashes[at] = mix(hashes[at] ^ chunk, 4)
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[starts[k]:ends[k]].tobytes(), digest_size=8).digest()
+        hashes[k] = np.uint64(int.from_bytes(digest, "little"))
+    return hashes
+
+
 def prefix_hash(values: np.ndarray) -> np.ndarray:
     """Sums ``values[i] * base**i`` before each position, modulo 2**64."""
     up, _ = _power_tables(len(values) + 1)
@@ -104,9 +132,7 @@ def split_words(data: np.ndarray, base: np.ndarray, separators: np.ndarray,
         at = np.sort(np.concatenate([at, touching, touching]))
     starts, ends = at[0::2], at[1::2]
     first = np.searchsorted(starts, base)
-    values = (_LOWER_VALUES if lower else _BYTE_VALUES)[data]
-    prefix = prefix_hash(values)
-    return Words(data, starts, ends, first, base, span_hash(prefix, starts, ends))
+    return Words(data, starts, ends, first, base, word_hashes(LOWER[data] if lower else data, starts, ends))
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -55,14 +55,10 @@ def case():
     return docs, items
 
 
-@pytest.mark.parametrize("bucket,shard,block", [(1024, 1 << 20, 1 << 18), (7, 300, 40), (1, 1, 1)])
-def test_same_as_all_pairs(spark, docs_of, case, monkeypatch, bucket, shard, block):
+@pytest.mark.parametrize("block", [1 << 18, 60])
+def test_same_as_all_pairs(spark, docs_of, case, block):
     docs, items = case
-    index = {"bucket": bucket, "shard": shard}
-    monkeypatch.setattr(lexical, "BUCKET", index["bucket"])
-    monkeypatch.setattr(lexical, "SHARD", index["shard"])
-    small = block if block > 1 else 60
-    assert run(spark, docs, items, docs_of, block_terms=small) == brute(docs, items)
+    assert run(spark, docs, items, docs_of, block_terms=block) == brute(docs, items)
 
 
 def shard_of(rng, n, width):

@@ -58,14 +58,15 @@ def rows():
 
 @pytest.mark.parametrize(("num", "den"), [(85, 100), (8, 10), (6, 10)])
 def test_matches_brute_force(docs_of, rows, num, den):
-    got = m.near_duplicates(docs_of(rows), num=num, den=den).collect()
-    assert sorted(map(tuple, got)) == brute(rows, num, den)
+    got = m.document_components(docs_of(rows), num=num, den=den).collect()
+    assert sorted(tuple(r)[:3] for r in got) == brute(rows, num, den)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
 def test_rest_of_buckets_in_many_blocks(docs_of, rows, monkeypatch):
     monkeypatch.setattr(m, "BLOCK", 3)
-    got = m.near_duplicates(docs_of(rows), num=85, den=100).collect()
-    assert sorted(map(tuple, got)) == brute(rows, 85, 100)
+    got = m.document_components(docs_of(rows), num=85, den=100).collect()
+    assert sorted(tuple(r)[:3] for r in got) == brute(rows, 85, 100)
 
 
 def test_nulls_repeated_ids_and_clashing_names(docs_of):
@@ -73,14 +74,52 @@ def test_nulls_repeated_ids_and_clashing_names(docs_of):
     rows = [(3, long), (3, long), (None, long), (None, prose(2, 50)), (5, prose(3, 50)), (5, long), (7, None)]
     docs = docs_of(rows, ["1 AS node", "'x' AS set_key", "2 AS component", "3 AS __text1"])
     got = m.near_duplicates(docs)
-    by_node = {(r["node"] if r["node"] < m.NO_ID else None): r["component"] for r in got.collect()}
-    assert by_node[3] == by_node[5] == 3 and by_node[7] == 7
+    found = [tuple(r) for r in m.document_components(docs).collect()]
+    assert sorted(found, key=str) == sorted([
+        (3, 46, 3, True), (3, 46, 3, True), (None, 46, 3, False), (None, 46, None, True),
+        (5, 46, 3, False), (5, 46, 3, False), (7, 0, 7, True)], key=str)
     kept = m.keep_one(docs, got).collect()
     assert kept[0].asDict().keys() == set(docs.columns)
-    assert sorted((r["doc_id"], r["text"]) for r in kept if r["doc_id"] is not None) == [(3, long), (7, None)]
+    assert sorted((r["doc_id"], r["text"]) for r in kept if r["doc_id"] is not None) == [
+        (3, long), (5, prose(3, 50)), (7, None)]
     assert [r["text"] for r in kept if r["doc_id"] is None] == [prose(2, 50)]
 
 
+def brute_ids(rows, num, den):
+    """Components of documents: rows with one id are one node."""
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, (a, _) in enumerate(rows):
+        for j, (b, _) in enumerate(rows[:i]):
+            both = len(sets[i] & sets[j])
+            if a == b or both and den * both >= num * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (a, _) in enumerate(rows):
+        least[find(i)] = min(a, least.get(find(i), a))
+    return sorted((a, len(sets[i]), least[find(i)], a == least[find(i)]) for i, (a, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_any_ids_and_one_id_on_several_texts(docs_of, monkeypatch, block):
+    """Ids at and beyond 2**62 and below 0; an id on differing texts in buckets that stay open."""
+    monkeypatch.setattr(m, "BLOCK", block)
+    rng = random.Random(8)
+    a, b, c = prose(1, 200), prose(2, 200), prose(3, 200)
+    rows = [(5, a), (5, b), (7, near(a, 7, rng)), (1 << 62, c), ((1 << 63) - 1, near(c, 1, rng)), (-(1 << 63), near(c, 2, rng)),
+            (-4, prose(4, 60)), (-4, prose(5, 60))]
+    rows += [(100 + k, near(a, 3 + k % 9, rng)) for k in range(25)] + [(300 + k, near(b, 4 + k % 7, rng)) for k in range(25)]
+    rows += [(100 + k, near(c, 5 + k, rng)) for k in range(6)]
+    got = sorted(map(tuple, m.document_components(docs_of(rows), num=85, den=100).collect()))
+    assert got == brute_ids(rows, 85, 100)
+
+
 def test_unrelated_texts_with_one_id_all_stay(spark, docs_of):
     rng = random.Random(6)
     a, b, c, d = (prose(100 + k, 80) for k in range(4))

@@ -40,18 +40,35 @@ def test_finds_the_nearest(spark, rows, size):
     got = {}
     for x in r.nearest(frame, F.col("vec_id") % 50 == 0, rows=size, query_rows=7).collect():
         got.setdefault(x["query_id"], []).append((x["rank"], x["vec_id"], x["score"]))
-    want = brute(rows)
+    want, every = brute(rows), brute(rows, 10 ** 6)
     assert set(got) == {q for q, found in want.items() if found}
     hit = total = 0
     for q, found in got.items():
         found.sort()
         assert [x[0] for x in found] == list(range(1, len(want[q]) + 1))
-        assert np.allclose([x[2] for x in found], [s for _, s in want[q]], atol=1e-7) or size
+        own = dict(every[q])
+        assert [x[2] for x in found] == pytest.approx([own[x[1]] for x in found], abs=1e-12)
+        assert [(x[1], x[2]) for x in found] == sorted(((x[1], x[2]) for x in found), key=lambda x: (-x[1], x[0]))
         hit += len({x[1] for x in found} & {i for i, _ in want[q]})
         total += len(found)
     assert hit / total >= 0.97
 
 
+def test_equal_vectors_go_by_id_over_many_blocks(spark):
+    rng = np.random.default_rng(9)
+    one, other = rng.normal(size=24).tolist(), rng.normal(size=24).tolist()
+    rows = [(0, one)] + [(400 + i, other) for i in range(40)] + [(1000 + i, (-rng.random(24)).tolist()) for i in range(30)]
+    rng.shuffle(rows)
+    rows = [(int(i), v) for i, v in rows]
+    want = [i for i, _ in brute(rows)[0]]
+    for size in (3, 7, 1000):
+        got = sorted(r.nearest(spark.createDataFrame(rows, SCHEMA).repartition(5), F.col("vec_id") == 0, rows=size).collect(),
+                     key=lambda x: x["rank"])
+        assert [x["vec_id"] for x in got] == want
+        same = [x for x in got if 400 <= x["vec_id"] < 440]
+        assert len({x["score"] for x in same}) <= 1 and (not same or [x["vec_id"] for x in same] == list(range(400, 400 + len(same))))
+
+
 @pytest.mark.parametrize("copies", [5, 40])
 def test_copies_of_a_near_id_take_one_place(spark, copies):
     rng = np.random.default_rng(3)

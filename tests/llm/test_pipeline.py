@@ -88,6 +88,6 @@ def test_empty_documents(spark, folder, tmp_path):
 
 def test_every_operator_is_registered():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     assert minhash.BANDS * minhash.ROWS == minhash.HASHES

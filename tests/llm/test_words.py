@@ -62,3 +62,39 @@ def test_components_match_union_find(spark):
     assert {r["node"]: r["component"] for r in got} == {x: find(x) for x in root}
     assert len(got) == len(root)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def thue_morse(n, x, y):
+    """The word of x and y and its complement: alike under any polynomial hash modulo 2**64."""
+    bits = [bin(k).count("1") & 1 for k in range(n)]
+    return "".join((x, y)[b] for b in bits), "".join((y, x)[b] for b in bits)
+
+
+def test_no_constructed_collisions():
+    for n in (8, 256, 1024, 4096, 65536):
+        one, other = thue_morse(n, "a", "b")
+        _, hashes = words_of([f"{one} {other}", one], SPACES, False, 1 << 20)
+        assert hashes[0] != hashes[1] and hashes[0] == hashes[2]
+        pairs = [thue_morse(n, "ab", "ba")[k] for k in (0, 1)]
+        _, hashes = words_of(pairs, NOT_ALNUM, True, 1 << 20)
+        assert hashes[0] != hashes[1]
+        a, b = ([f"{w} " + " ".join(f"w{k}" for k in range(34))] for w in (one, other))
+        sums = []
+        for texts in (a, b):
+            for _, _, data, base in chunks(pa.array(texts, pa.string())):
+                sums.append(split_words(data, base, SPACES, False).windows(35)[1].tolist())
+        assert len(sums[0]) == 1 and sums[0] != sums[1]
+
+
+def test_hashes_depend_on_the_word_alone():
+    rng = np.random.default_rng(1)
+    known = {}
+    for n in [*range(1, 40), 255, 256, 257, 300]:
+        for _ in range(20):
+            w = "".join(rng.choice(list("abcd"), n))
+            known[w] = None
+    words = list(known)
+    _, first = words_of([" ".join(words)], SPACES, False, 1 << 20)
+    _, again = words_of(["x" * k + " " + w for k, w in enumerate(reversed(words))], SPACES, False, 1 << 20)
+    assert len(set(first)) == len(words)
+    assert dict(zip(words, first)) == dict(zip(reversed(words), again[0:0] + [h for h in again if h in set(first)]))
