@@ -6,6 +6,8 @@ Every stage takes what its predecessor kept.  All but the last return the column
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,11 +20,19 @@ def _sized(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def _apart(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns but ``used`` under names no operator has, and the way back."""
+    names = {c: c if c in used else f"__own_{k}" for k, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), \
+        lambda df: df.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score ``toxicity.THRESHOLD`` or more go."""
     labels = table(spark, sf_dir, "labels").where(~catalog.held_out())
-    scored = toxicity.score(docs, toxicity.fit(docs, labels), out="toxicity")
-    return scored.where(F.col("toxicity") < toxicity.THRESHOLD).select(docs.columns)
+    plain, back = _apart(docs, "doc_id", "text")
+    scored = toxicity.score(plain, toxicity.fit(plain, labels), out="toxicity")
+    return back(scored.where(F.col("toxicity") < toxicity.THRESHOLD))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,16 +40,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Documents are told apart by id and text: unrelated texts with one id all stay.
     """
-    found = held(minhash.near_duplicates(docs, num=8, den=10, by_text=True), "components")
-    return minhash.keep_one(docs, found, by_text=True)
+    found = held(minhash.near_duplicates(docs, num=8, den=10), "components")
+    return minhash.keep_one(docs, found)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; a document goes if no word of it is left."""
-    found = fm_index.contaminated_spans(docs, table(spark, sf_dir, "benchmark"))
+    plain, back = _apart(docs, "doc_id", "text")
+    found = fm_index.contaminated_spans(plain, table(spark, sf_dir, "benchmark"))
     left = F.col("n_words") > F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["first"])
     kept = found.where((F.size("spans") == 0) | left)
-    return _sized(fm_index.without_spans(kept).select(docs.columns))
+    return _sized(back(fm_index.without_spans(kept)))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
