@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from .tables import held
 
 BUDGET, HISTORY = 512, 128
-HISTORY_TURNS = 8
 BLOCK_TURNS = 256
 #: Tokens of a turn's markers and role.
 TURN_COST = 4
@@ -98,7 +97,10 @@ def _windows(block: list[dict], budget: int, history: int) -> list[dict]:
     while start < len(turns):
         # The system turn is new itself where it opens the conversation.
         head = system if turns[start]["pos"] > 0 else []
-        back = max(int(np.searchsorted(sums, sums[start] - history)), start - HISTORY_TURNS, 0)
+        back = max(int(np.searchsorted(sums, sums[start] - history)), 0)
+        # History makes room for the first new turn, oldest turns first.
+        while back < start and (fixed if head else 0) + int(sums[start + 1] - sums[back]) > budget:
+            back += 1
         room = budget - (fixed if head else 0) - int(sums[start] - sums[back])
         end = max(start + 1, int(np.searchsorted(sums, sums[start] + room, "right")) - 1)
         if head:    # it must not be repeated twice
@@ -161,7 +163,8 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
     Rows go by ``turn`` (missing ones last), equal turns by role and text, repeated rows
     are turns of their own.  Null texts and roles are empty; a null ``conv_id`` is a
     conversation like any other.  The system turn is the first row if its role says so.
-    A window exceeds ``budget`` only if its system turn, history and one turn do.
+    History is what fits in ``history`` tokens, less what the first new turn needs.  A
+    window exceeds ``budget`` only if its system turn and one new turn do.
     ``tokens`` counts a row's tokens from ``text``.  Other columns are not looked at.
     """
     turns = conversations.select(
@@ -169,12 +172,15 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     cost = (count_tokens(F.col("text")) if tokens is None else tokens) + TURN_COST
     # Written: new turns, histories and system turns are all drawn from it.
+    # A turn costs TURN_COST at least, so the history of a block's first turn lies in the block before.
+    reach = max(0, history) // TURN_COST
+    size = max(BLOCK_TURNS, reach)
     rows = held(numbered(turns.withColumn("tokens", cost.cast("int"))).withColumn(
-        "block", F.floor(F.col("pos") / BLOCK_TURNS)), "turns")
+        "block", F.floor(F.col("pos") / size)), "turns")
     fields = ["conv_id", "block", "kind", "pos", "role", "text", "tokens"]
     new = rows.withColumn("kind", F.lit(2)).select(fields)
     # A block without turns of its own makes no window, so a last block may send its tail on.
-    tail = rows.where(F.col("pos") % BLOCK_TURNS >= BLOCK_TURNS - HISTORY_TURNS).withColumns(
+    tail = rows.where(F.col("pos") % size >= size - reach).withColumns(
         {"kind": F.lit(1), "block": F.col("block") + 1}).select(fields)
     opening = rows.where("pos = 0 AND role = 'system'").drop("block")
     blocks = rows.groupBy("conv_id").agg(F.max("block").alias("last"))

@@ -217,7 +217,8 @@ class CountTree:
 
 
 _CONTACTS = regex.compile(
-    r"(?P<mail>[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})|(?P<phone>\+?\d[\d ().-]{6,}\d)")
+    # A name is tried where its run begins, or where the search for the next contact does.
+    r"(?P<mail>(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,})|(?P<phone>\+?\d[\d ().-]{6,}\d)")
 
 
 def contact_edits(text: str) -> list[Edit]:

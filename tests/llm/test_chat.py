@@ -1,4 +1,5 @@
 import hashlib
+import re
 import random
 
 import pytest
@@ -66,13 +67,32 @@ def test_windows_keep_their_budget(spark, rows):
         assert new == all_turns[w["first_turn"]:w["first_turn"] + w["n_new"]]
         if all_turns[0][0] == "system":
             assert turns[0] == all_turns[0]
-        assert w["tokens"] <= 60 or w["n_new"] == 1
+        cost = lambda t: len(re.findall(r"[^\W]+|[^\w\s]", t[1])) + c.TURN_COST
+        head = [turns[0]] if w["n_repeated"] and all_turns[0][0] == "system" else []
+        assert w["tokens"] == sum(map(cost, turns))
+        assert w["tokens"] <= 60 or (w["n_new"] == 1 and w["n_repeated"] == len(head))
         history = turns[1 if w["n_repeated"] and all_turns[0][0] == "system" else 0:w["n_repeated"]]
         assert history == all_turns[w["first_turn"] - len(history):w["first_turn"]] if history else True
         assert [c.unescape(w["text"][s["start"]:s["end"]]) for s in w["loss"]] == [
             t for r, t in new if r == "assistant"]
 
 
+def test_history_gives_way_to_the_first_new_turn(spark):
+    said = [60, 60, 450, 450]
+    rows = [(1, k, "user", "w " * (n - c.TURN_COST)) for k, n in enumerate(said)]
+    got = c.format_windows(spark.createDataFrame(rows, SCHEMA), 512, 128).orderBy("first_turn").collect()
+    assert [(r["first_turn"], r["n_new"], r["n_repeated"], r["tokens"]) for r in got] == [
+        (0, 2, 0, 120), (2, 1, 1, 510), (3, 1, 0, 450)]
+
+
+def test_only_tokens_limit_the_history(spark):
+    rows = [(1, k, "user", "w") for k in range(700)]
+    for history, held in ((128, 25), (2000, 400)):
+        got = c.format_windows(spark.createDataFrame(rows, SCHEMA), history + 20, history).collect()
+        assert {r["n_repeated"] for r in got if r["first_turn"] >= 400} == {held}
+    assert sum(r["n_new"] for r in got) == 700
+
+
 def test_history_crosses_blocks(spark, rows, monkeypatch):
     monkeypatch.setattr(c, "BLOCK_TURNS", 16)
     frame = spark.createDataFrame(rows, SCHEMA)

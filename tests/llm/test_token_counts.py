@@ -75,3 +75,19 @@ def test_kept_trees(spark, counter):
         assert t.CountTree.from_bytes(r["tree"]).to_bytes() == r["tree"]
         assert r["n_encoded"] < 12
     assert {r["doc_id"]: r["text"][:9] for r in twice.collect()} == {0: "one 2hree", 1: "new", 2: "", 3: "short"}
+
+
+def test_contacts_are_found_in_linear_time_and_as_before():
+    import random
+    import time
+
+    import regex
+    plain = regex.compile(r"(?P<mail>[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})|(?P<phone>\+?\d[\d ().-]{6,}\d)")
+    rng = random.Random(1)
+    parts = ["a@b.com", "-x@c.org", "123456789", "x", "@", ".", "+1 (22) 333-44 55", " ", "b.c@d", "%", "é", "..", "7@y.zz"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        assert t.contact_edits(text) == [(*m.span(), f"[{m.lastgroup}]") for m in plain.finditer(text)]
+    begin = time.time()
+    assert t.contact_edits("ab" * 1_000_000) == [] and len(t.contact_edits("a" * 500_000 + "@b.com " + "c" * 500_000)) == 1
+    assert time.time() - begin < 10
