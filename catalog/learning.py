@@ -10,6 +10,7 @@ from outcomelab.operators import boosting as B
 from outcomelab.operators import dist, evaluate, nearest
 from outcomelab.operators import model as M
 from outcomelab.operators import target_stats as T
+from outcomelab.operators.tuning import Study, tune_boosted, tune_boosted_stepwise
 from outcomelab.plans.order_cohort import order_cohort, table
 
 from .models import candidate, part, split_cohort
@@ -94,6 +95,23 @@ def _(spark, sf):
     return rounded(gains.select("feature", "bin", "missing_left", "n_left", "n_right", "gain"), "gain")
 
 
+@check("K5_parzen_search_with_pruning")
+def _(spark, sf):
+    rows = part(fitting(spark, sf), "train", "val")
+    study = Study({"depth": ("int", 2, 4), "rate": ("log", 0.05, 0.5)}, startup=2, prune=True, warm_trials=2)
+    _, study = tune_boosted(rows, [*FEATURES, "segment_stat"], "label", "is_val", study, 3, replace(SMALL, rounds=2))
+    return study.log(spark).select("trial", "value", "state", "rounds")
+
+
+@check("K5_stepwise_search")
+def _(spark, sf):
+    rows = part(fitting(spark, sf), "train", "val")
+    stages = [("depth", lambda best, rng: [{"depth": 2}]), ("min_rows", lambda best, rng: [{"min_rows": n} for n in (5, 50)])]
+    _, log = tune_boosted_stepwise(rows, [*FEATURES, "grp_stat"], "label", "is_val",
+                                   replace(SMALL, rounds=2, depth=3), stages=stages)
+    return log.select("stage", "step", "value", "best")
+
+
 @check("K7_gain_importance")
 def _(spark, sf):
     return B.node_importance(boosted(fitting(spark, sf), rounds=3).nodes(spark))
