@@ -10,6 +10,7 @@ from outcomelab.operators import boosting as B
 from outcomelab.operators import dist, evaluate, nearest
 from outcomelab.operators import model as M
 from outcomelab.operators import target_stats as T
+from outcomelab.operators.bagging import fit_bagged_forest
 from outcomelab.operators.tuning import Study, tune_boosted, tune_boosted_stepwise
 from outcomelab.plans.order_cohort import order_cohort, table
 
@@ -95,6 +96,13 @@ def _(spark, sf):
     return rounded(gains.select("feature", "bin", "missing_left", "n_left", "n_right", "gain"), "gain")
 
 
+@check("K2_out_of_bag")
+def _(spark, sf):
+    c = order_cohort(spark, sf).select("id", "label", "segment", *FEATURES)
+    forest = fit_bagged_forest(c, "label", "id", FEATURES, ["segment"], trees=5, depth=5)
+    return spark.createDataFrame(sorted(forest.oob.items()), "metric string, value double")
+
+
 @check("K5_parzen_search_with_pruning")
 def _(spark, sf):
     rows = part(fitting(spark, sf), "train", "val")
