@@ -71,8 +71,8 @@ def op7_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    runs = rlz_dedup.duplicate_windows(docs)
-    return (rlz_dedup.remove_duplicates(docs, runs, digest=True)
+    parsed = rlz_dedup.parse(rlz_dedup.duplicate_windows(docs))
+    return (rlz_dedup.remove_duplicates(docs, parsed, digest=True)
             .select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256")))
 
 

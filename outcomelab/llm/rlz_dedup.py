@@ -9,12 +9,15 @@ anchor depends on the window's words alone, so equal windows meet at equal ancho
    a filter of bounded size.  A false positive costs work, never a result.
 2. *Index.*  The windows around one anchor form a block.  The first block (smallest
    document key and place) of each repeated anchor is its reference block.
-3. *Parse.*  Every other block is matched against its reference block; matching
-   windows that continue each other in document and reference join into the longest
-   factor, read from left to right.  A factor of at least ``WINDOW`` words is a
-   duplicate span, and so is its source in the reference.
-4. *Factor boundaries.*  Windows that cross the end of a factor match no reference;
-   they are compared among themselves by count, and repeated ones become spans.
+3. *Match.*  Every other block is held against its reference block; the source of a
+   match in the reference is a repeated window too.  Windows that no reference has are
+   compared among themselves by count.
+4. *Parse.*  Matches that continue each other in document and reference join into the
+   longest match.  Each document is parsed from left to right: the match that reaches
+   farthest is the next factor, if it has at least ``WINDOW`` words; such a factor is a
+   duplicate span.
+5. *Factor boundaries.*  Any other window crosses the end of a factor; it is a duplicate
+   span if step 3 found it repeated.
 
 Nothing pairs the members of a group: an anchor in a third of all documents is
 aggregated before its shuffle, and joined in a join that Spark may split.
@@ -28,6 +31,7 @@ and empty texts have no words.  Other columns of the input are not looked at.
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -141,7 +145,7 @@ def duplicate_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     ``doc_id, th, start, n, ref_doc, ref_th, ref_start``: the windows at word
     ``start .. start + n - 1`` of the document equal those at ``ref_start ..`` of the
-    reference (null where step 4 found them among themselves, or for the reference
+    reference (null where they were found among themselves, or for the reference
     itself).  Runs of one document may touch or overlap.
     """
     if not 0 < anchor <= window <= anchor + 62:
@@ -213,35 +217,146 @@ def duplicate_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def factors(runs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Greedy factors ``(doc_id, th, start, length, ref_doc, ref_th, ref_start)``.
+SPANS = "array<struct<start:int,length:int,ref_doc:long,ref_th:long,ref_start:int>>"
+SPAN_FIELDS = (("start", pa.int32()), ("length", pa.int32()), ("ref_doc", pa.int64()), ("ref_th", pa.int64()),
+               ("ref_start", pa.int32()))
 
-    Runs against the same reference that continue each other become one factor.
+
+def longest_matches(row: np.ndarray, ref: list[np.ndarray], gap: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """Word matches ``start .. end`` that meet on one line of one reference, joined; sorted by row and start.
+
+    Returns the first of the joined matches (as places in the arguments), and their ends.
     """
-    lines = runs.where("ref_th IS NOT NULL").groupBy(
-        "doc_id", "th", "ref_doc", "ref_th", (F.col("ref_start") - F.col("start")).alias("gap")
-    ).agg(F.array_sort(F.collect_list(F.struct("start", "n"))).alias("runs"))
-    joined = F.aggregate("runs", F.expr("cast(array() as array<struct<start:int,n:int>>)"),
-                         lambda acc, r: F.when(
-                             (F.size(acc) > 0)
-                             & (r["start"] <= F.element_at(acc, -1)["start"] + F.element_at(acc, -1)["n"]),
-                             F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                                 F.element_at(acc, -1)["start"].alias("start"),
-                                 F.greatest(F.element_at(acc, -1)["n"],
-                                            r["start"] + r["n"] - F.element_at(acc, -1)["start"])
-                                 .cast("int").alias("n")))))
-                         .otherwise(F.concat(acc, F.array(F.struct(
-                             r["start"].alias("start"), r["n"].alias("n"))))))
-    return lines.select("doc_id", "th", "ref_doc", "ref_th", "gap", F.explode(joined).alias("f")).select(
-        "doc_id", "th", F.col("f.start").alias("start"),
-        (F.col("f.n") + window - 1).alias("length"), "ref_doc", "ref_th",
-        (F.col("f.start") + F.col("gap")).alias("ref_start"))
-
-
-def _cut(window: int, digest: bool):
+    order = np.lexsort((start, gap, *ref, row))
+    keys = [x[order] for x in (row, *ref, gap)]
+    line = np.zeros(len(order), np.int64)
+    if len(order):
+        line[1:] = np.cumsum(np.any([x[1:] != x[:-1] for x in keys], axis=0))
+    reach = np.maximum.accumulate(end[order] + (line << 32)) - (line << 32)
+    first = np.ones(len(order), bool)
+    first[1:] = (line[1:] != line[:-1]) | (start[order][1:] > reach[:-1])
+    at = np.flatnonzero(first)
+    ends = reach[np.append(at[1:], len(order)) - 1] if len(at) else reach
+    again = np.lexsort((start[order][at], row[order][at]))
+    return order[at][again], ends[again]
+
+
+def greedy(matches: list[tuple[int, int]], window: int) -> list[tuple[int, int, int]]:
+    """Greedy parse by matches ``(start, end)`` in order of start: factors ``(start, end, number of the match)``.
+
+    At each place the match that reaches farthest is taken (the first of equals) if at least
+    ``window`` words of it are left; the next factor begins at its end.
+    """
+    out: list[tuple[int, int, int]] = []
+    heap: list[tuple[int, int]] = []
+    at = k = 0
+    while True:
+        while k < len(matches) and matches[k][0] <= at:
+            heapq.heappush(heap, (-matches[k][1], k))
+            k += 1
+        if heap and -heap[0][0] - at >= window:
+            out.append((at, -heap[0][0], heap[0][1]))
+            at = -heap[0][0]
+        elif k < len(matches):      # nothing left here is long enough, so it never will be
+            heap.clear()
+            at = matches[k][0]
+        else:
+            return out
+
+
+def boundary_windows(found: list[tuple[int, int]], parsed: list[tuple[int, int, int]],
+                     window: int) -> list[tuple[int, int]]:
+    """Of the repeated windows (starts ``low .. high - 1``, in order), those inside no factor, as word spans."""
+    out: list[tuple[int, int]] = []
+    k, done = 0, 0
+    for low, high in found:
+        low = max(low, done)
+        while low < high:
+            while k < len(parsed) and parsed[k][1] - window < low:
+                k += 1
+            if k < len(parsed) and parsed[k][0] <= low:
+                low = parsed[k][1] - window + 1
+                continue
+            stop = min(high, parsed[k][0]) if k < len(parsed) else high
+            if out and low <= out[-1][1] - window + 1:
+                out[-1] = (out[-1][0], stop + window - 1)
+            else:
+                out.append((low, stop + window - 1))
+            low = stop
+        done = max(done, high)
+    return out
+
+
+def _parse(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = batch.column(2)
+            row = np.repeat(np.arange(len(runs)), np.diff(runs.offsets.to_numpy()))
+            flat = runs.flatten()
+            start, n, ref_start = (flat.field(c).fill_null(0).to_numpy().astype(np.int64)
+                                   for c in ("start", "n", "ref_start"))
+            ref_doc, ref_th = flat.field("ref_doc"), flat.field("ref_th")
+            has = np.flatnonzero(ref_th.is_valid().to_numpy(zero_copy_only=False))
+            ref = [x.to_numpy(zero_copy_only=False)[has] for x in (
+                ref_doc.is_null(), ref_doc.fill_null(0), ref_th.fill_null(0))]
+            first, ends = longest_matches(row[has], ref, (ref_start - start)[has], start[has],
+                                          (start + n + window - 1)[has])
+            first = has[first]
+            match_rows = np.searchsorted(row[first], np.arange(len(runs) + 1))
+            order = np.lexsort((start, row))
+            window_rows = np.searchsorted(row[order], np.arange(len(runs) + 1))
+            matches = list(zip(start[first].tolist(), ends.tolist()))
+            found = list(zip(start[order].tolist(), (start + n)[order].tolist()))
+            out: list[list] = [[] for _ in range(3)]        # start, length, place of the match in ``flat`` or None
+            offsets = [0]
+            for r in range(len(runs)):
+                low, high = match_rows[r:r + 2].tolist()
+                parsed = greedy(matches[low:high], window)
+                for begin, end, k in parsed:
+                    out[0].append(begin)
+                    out[1].append(end - begin)
+                    out[2].append(int(first[low + k]))
+                a, b = window_rows[r:r + 2].tolist()
+                for begin, end in boundary_windows(found[a:b], parsed, window):
+                    out[0].append(begin)
+                    out[1].append(end - begin)
+                    out[2].append(None)
+                offsets.append(len(out[0]))
+            at = pa.array(out[2], pa.int64())
+            source = pa.array([None if k is None else int(ref_start[k] - start[k]) + s
+                               for s, k in zip(out[0], out[2])], pa.int32())
+            spans = pa.StructArray.from_arrays(
+                [pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32()), ref_doc.take(at), ref_th.take(at), source],
+                fields=[pa.field(*f) for f in SPAN_FIELDS])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)],
+                ["doc_id", "th", "spans"])
+    return run
+
+
+def parse(runs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``doc_id, th, spans``: the greedy parse of each document that has a duplicate span.
+
+    Runs that continue each other on one reference are joined into the longest match; from
+    left to right the match that reaches farthest becomes a factor, if ``window`` words or
+    more are left of it.  Every window inside no factor crosses a factor's end; those among
+    them that are known to repeat are the spans without a reference.
+    """
+    grouped = runs.groupBy("doc_id", "th").agg(        # of one text, so never more than its words
+        F.collect_set(F.struct("start", "n", "ref_doc", "ref_th", "ref_start")).alias("runs"))
+    return grouped.mapInArrow(_parse(window), f"doc_id long, th long, spans {SPANS}")
+
+
+def factors(parsed: DataFrame) -> DataFrame:
+    """The factors ``(doc_id, th, start, length, ref_doc, ref_th, ref_start)`` of parsed documents."""
+    return (parsed.select("doc_id", "th", F.explode("spans").alias("f"))
+            .select("doc_id", "th", "f.*").where("ref_th IS NOT NULL"))
+
+
+def _cut(digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, runs = batch.column(1), batch.column(2)
+            texts, found = batch.column(1), batch.column(2)
             out: list[list] = [[], [], []]
             for row, end, data, base in chunks(texts):
                 words = split_words(data, base, SPACES, False)
@@ -250,10 +365,10 @@ def _cut(window: int, digest: bool):
                 for d in range(end - row):
                     low, high = int(words.first[d]), int(words.first[d + 1])
                     gone = np.zeros(high - low + 1, np.int64)
-                    spans = runs[row + d].as_py()
-                    for r in spans or ():
-                        gone[r["start"]] += 1
-                        gone[r["start"] + r["n"] + window - 1] -= 1
+                    spans = found[row + d].as_py()
+                    for f in spans or ():
+                        gone[f["start"]] += 1
+                        gone[f["start"] + f["length"]] -= 1
                     kept = (np.cumsum(gone)[:-1] == 0).tolist() if spans else None
                     body = b" ".join([raw[starts[i]:ends[i]] for i in range(low, high)
                                       if kept is None or kept[i - low]])
@@ -266,18 +381,18 @@ def _cut(window: int, digest: bool):
     return run
 
 
-def remove_duplicates(docs: DataFrame, runs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                      window: int = WINDOW, digest: bool = False) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept``: each text without the words under its runs.
+def remove_duplicates(docs: DataFrame, parsed: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                      digest: bool = False) -> DataFrame:
+    """``doc_id, n_words, n_removed, kept``: each text without the words under its duplicate spans.
 
     ``kept`` is the remaining words joined by one space, or with ``digest`` its
     SHA-256.
     """
-    spans = runs.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "n")).alias("runs"))
-    spans = spans.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "runs")
+    spans = parsed.select(F.col("doc_id").alias("d"), F.col("th").alias("t"),
+                          F.transform("spans", lambda f: F.struct(f["start"], f["length"])).alias("spans"))
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
                         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"))
     both = keyed.join(spans.hint("shuffle_hash"),
                       F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left")
-    return both.select("doc_id", "text", "runs").mapInArrow(
-        _cut(window, digest), "doc_id long, n_words long, n_removed long, kept string")
+    return both.select("doc_id", "text", "spans").mapInArrow(
+        _cut(digest), "doc_id long, n_words long, n_removed long, kept string")

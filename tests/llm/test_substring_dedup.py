@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from outcomelab.llm import rlz_dedup as r
@@ -23,8 +24,8 @@ def brute(rows, window):
 
 
 def run(docs, **kw):
-    runs = r.duplicate_windows(docs, **kw)
-    return sorted(map(tuple, r.remove_duplicates(docs, runs, window=kw.get("window", r.WINDOW)).collect()), key=str)
+    parsed = r.parse(r.duplicate_windows(docs, **kw), kw.get("window", r.WINDOW))
+    return sorted(map(tuple, r.remove_duplicates(docs, parsed).collect()), key=str)
 
 
 @pytest.fixture(scope="module")
@@ -75,9 +76,43 @@ def test_factors_point_to_equal_words(docs_of, rows):
     plain = [(i, t) for i, t in rows if i is not None and i < 50]
     docs = docs_of(plain)
     words = {i: t.split() for i, t in plain}
-    found = r.factors(r.duplicate_windows(docs)).collect()
+    found = r.factors(r.parse(r.duplicate_windows(docs))).collect()
     assert found
+    ends = {}
+    for f in sorted(found, key=lambda f: (f["doc_id"], f["start"])):
+        assert f["start"] >= ends.get(f["doc_id"], 0)        # factors of a parse never overlap
+        ends[f["doc_id"]] = f["start"] + f["length"]
     for f in found:
         assert f["length"] >= 35
         a, b = f["start"], f["ref_start"]
         assert words[f["doc_id"]][a:a + f["length"]] == words[f["ref_doc"]][b:b + f["length"]]
+
+
+def test_factors_are_the_longest_from_left_to_right():
+    rng = random.Random(5)
+    for _ in range(400):
+        window = rng.randrange(1, 6)
+        matches = sorted((a, a + rng.randrange(window, 15)) for a in (rng.randrange(0, 40) for _ in range(rng.randrange(9))))
+        expected, at = [], 0
+        while at < 60:
+            reach = max((b for a, b in matches if a <= at), default=0)
+            if reach - at >= window:
+                expected.append((at, reach))
+                at = reach
+            else:
+                at += 1
+        parsed = r.greedy(matches, window)
+        assert [p[:2] for p in parsed] == expected
+        assert all(matches[k][0] <= a and matches[k][1] == b for a, b, k in parsed)
+        starts = {s for a, b in matches for s in range(a, b - window + 1)}
+        inside = {s for a, b, _ in parsed for s in range(a, b - window + 1)}
+        spans = r.boundary_windows([(a, b - window + 1) for a, b in matches], parsed, window)
+        got = [s for a, b in spans for s in range(a, b - window + 1)]
+        assert len(got) == len(set(got)) and set(got) == starts - inside
+
+
+def test_matches_on_one_line_join():
+    start, end = [0, 30, 66, 2], [35, 65, 101, 40]
+    gap = np.array([5, 5, 5, 6])
+    first, ends = r.longest_matches(np.zeros(4, int), [np.zeros(4, int)] * 3, gap, np.array(start), np.array(end))
+    assert [(start[k], int(gap[k]), e) for k, e in zip(first, ends.tolist())] == [(0, 5, 65), (2, 6, 40), (66, 5, 101)]
