@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_PAGES = 4000
-#: Keys kept in the weight table, the most frequent first.
-MOST_KEYS = 20_000
+#: Longer pages are not learned from, so the sample and the keys in it are bounded.
+SAMPLE_CHARS = 200_000
 WORD_LIMIT, TAG_LIMIT, TAG_LEAST, TAG_UNSEEN = 4.0, 25.0, 0.01, 0.5
 
 #: Fixed lists of HTML element names.
@@ -53,14 +53,100 @@ AROUND = re.compile(
     r"responses?|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?:[^a-z]|$)")
 AROUND_ELEMENTS = frozenset("aside button dialog fieldset footer form head header label menu nav title".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(" + "|".join(RAW) + r")\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
-    re.DOTALL | re.IGNORECASE)
+_OPEN = re.compile(r"<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([a-zA-Z][a-zA-Z0-9:-]*))", re.IGNORECASE)
+_RAW = re.compile("<(" + "|".join(RAW) + r")\b", re.IGNORECASE)
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW}
+_SPECIAL = re.compile("[>\"']")
 _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
 
+class TagEnds:
+    """Where tags end, each character looked at a bounded number of times.
+
+    A tag ends at the first ``>`` outside quotes.  Where a quote never closes there is no end;
+    what was learned about a ``>`` or quote holds for every tag that comes to it.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.known: dict[int, int] = {}
+        self.last: dict[str, int] = {}      # quotes that do not occur behind a place
+        self.free = (0, -1)                 # from here to there nothing ends a tag or opens a quote
+
+    def after(self, at: int) -> int:
+        """The place behind the ``>`` of a tag whose name ends at ``at``; -1 if there is none."""
+        path = []
+        end = -1
+        while True:
+            if self.free[0] <= at <= self.free[1]:
+                here = self.free[1]
+            else:
+                m = _SPECIAL.search(self.html, at)
+                here = m.start() if m else len(self.html)
+                if not path:
+                    self.free = at, here
+            if here == len(self.html):
+                break
+            if here in self.known:
+                end = self.known[here]
+                break
+            path.append(here)
+            quote = self.html[here]
+            if quote == ">":
+                end = here + 1
+                break
+            close = -1 if here >= self.last.get(quote, len(self.html)) else self.html.find(quote, here + 1)
+            if close < 0:
+                self.last[quote] = min(here, self.last.get(quote, here))
+                break
+            at = close + 1
+        if len(path) > 1 or end < 0:
+            self.known.update(dict.fromkeys(path, end))
+        return end
+
+
+def markup(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """``(start, end, name, is a closing tag, attributes)`` of each piece of markup, in order.
+
+    Comments, declarations, scripts and the like have no name.  A ``<`` that begins nothing
+    whole is text.
+    """
+    ends = TagEnds(html)
+    at = 0
+    gone: set[str] = set()      # closing marks that do not occur any more
+
+    def find(mark: str, begin: int) -> int:
+        """The place behind the next ``mark``; -1 if there is none."""
+        where = -1 if mark in gone else html.find(mark, begin)
+        if where < 0:
+            gone.add(mark)
+            return -1
+        return where + len(mark)
+
+    while m := _OPEN.search(html, at):
+        start = m.start()
+        end, name, attributes = -1, "", ""
+        if m[1]:
+            end = find("-->", m.end())
+            end = len(html) if end < 0 else end
+        elif m[2] or m[3]:
+            end = find("]]>", m.end()) if m[2] else -1
+            end = find(">", start + 2) if end < 0 else end
+        else:
+            end = ends.after(m.end())
+            raw = _RAW.match(html, start) if end >= 0 and not m[4] else None
+            if raw:
+                close = _RAW_END[raw[1].lower()].search(html, end)
+                end = close.end() if close else len(html)
+            elif end >= 0:
+                name, attributes = m[5].lower(), html[m.end():end - 1]
+        if end < 0:
+            at = start + 1
+            continue
+        yield start, end, name, bool(m[4]), attributes
+        at = end
+
+
 def tokens(html: str | None) -> Iterator[tuple[str, str, bool, bool, str]]:
     """``(key, name, is a tag, inside an article, text)`` in page order.
 
@@ -68,41 +154,47 @@ def tokens(html: str | None) -> Iterator[tuple[str, str, bool, bool, str]]:
     has its name and marks.  Comments, scripts and the like are left out.
     """
     stack: list[tuple[str, str]] = [("", "page")]       # name, key that holds for text inside
+    places: dict[str, list[int]] = {}       # where in the stack each name is open
+    blocks: list[int] = []                  # where block elements are
     articles = 0
     at = 0
     html = html or ""
-    for m in _TOKEN.finditer(html):
-        if m.start() > at:
-            yield stack[-1][1], "", False, articles > 0, html[at:m.start()]
-        at = m.end()
-        name = m[3]
+
+    def leave(depth: int) -> None:
+        nonlocal articles
+        while len(stack) > depth:
+            name, _ = stack.pop()
+            places[name].pop()
+            articles -= name == "article"
+        while blocks and blocks[-1] >= depth:
+            blocks.pop()
+
+    for start, end, name, closing, attributes in markup(html):
+        if start > at:
+            yield stack[-1][1], "", False, articles > 0, html[at:start]
+        at = end
         if not name:
             continue
-        name = name.lower()
-        if m[2]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if depth:
-                for gone, _ in stack[depth:]:
-                    articles -= gone == "article"
-                del stack[depth:]
+        if closing:
+            if places.get(name):
+                leave(places[name][-1])
             yield f"{stack[-1][1]}>/{name}", name, True, articles > 0, ""
             continue
         if name in CLOSES_P or name == "p":
             # A paragraph that is still open ends here, with what was left open in it.
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    del stack[i:]
-                    break
-                if stack[i][0] in BLOCK:
-                    break
-        marks = " ".join(sorted(x for g in _MARK.findall(m[4]) for x in "".join(g).lower().split()))
+            if blocks and stack[blocks[-1]][0] == "p":
+                leave(blocks[-1])
+        marks = " ".join(sorted(x for g in _MARK.findall(attributes) for x in "".join(g).lower().split()))
         own = f"{name}.{marks}" if marks else name
         inner = stack[-1][1]
         yield f"{inner}>{own}", name, True, articles > 0, ""
-        if name not in VOID and not m[4].endswith("/"):
+        if name not in VOID and not attributes.endswith("/"):
             if inner[0] != "!" and (marks or name in MARKED):
                 around = name in AROUND_ELEMENTS or bool(marks and AROUND.search(marks))
                 inner = f"{'!' if around else ''}{inner.rpartition('/')[2]}/{own}"
+            places.setdefault(name, []).append(len(stack))
+            if name in BLOCK:
+                blocks.append(len(stack))
             stack.append((name, inner))
             articles += name == "article"
     if at < len(html):
@@ -187,16 +279,19 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["tag", "key", "inside", "n"])
 
 
-def learn(pages: DataFrame, html: str = "html", sample: int = SAMPLE_PAGES) -> Weights:
-    """Weights from about ``sample`` pages at most, those of them that have one marked article."""
+def learn(pages: DataFrame, html: str = "html", sample: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS) -> Weights:
+    """Weights from about ``sample`` pages of at most ``chars`` characters, those with one marked article.
+
+    Every key in the sample is weighed.
+    """
+    pages = pages.where(F.length(html) <= chars)
     total = pages.count()
     if total > sample:
         every = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(html), F.lit(""))), 1) % 1_000_003
         pages = pages.where(every < int(1_000_003 * sample / total))
     counted = (pages.select(F.col(html)).mapInArrow(_counts, "tag boolean, key string, inside boolean, n long")
                .groupBy("tag", "key").agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("i"),
-                                          F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("o"))
-               .orderBy(F.desc(F.col("i") + F.col("o")), "tag", "key").limit(MOST_KEYS))
+                                          F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("o")))
     return Weights({(r["tag"], r["key"]): (r["i"], r["o"]) for r in counted.collect()})
 
 
@@ -218,7 +313,7 @@ def main_text(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("pa
     Repeated rows each get their result.
     """
     weights = weights or learn(pages, html)
-    shared = pages.sparkSession.sparkContext.broadcast(weights)       # MOST_KEYS entries at most
+    shared = pages.sparkSession.sparkContext.broadcast(weights)       # keys of the bounded sample
     rows = pages.select(*[F.col(c) for c in keep], F.col(html))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(_extract(shared, len(keep)), f"{schema}, text string").withColumn(

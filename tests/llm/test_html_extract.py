@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 import pytest
 
@@ -68,3 +70,38 @@ def test_tables(spark, weights):
     assert len(by[7].split()) == 120_002
     assert h.main_text(pages).count() == len(rows)          # no more than one labelled page
     assert h.main_text(pages.limit(0)).count() == 0
+
+
+#: The markup of a page as one pattern; it searches to the end at every open quote.
+PATTERN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
+    r"|<(" + "|".join(h.RAW) + r")\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
+    re.DOTALL | re.IGNORECASE)
+
+
+def test_markup_is_that_of_the_pattern():
+    rng = random.Random(2)
+    bits = ["<", ">", "a", "/", "'", '"', " ", "<p", "</p>", "<b x='", "<script", "</script >", "<svg>", "</svg>", "<!--", "-->",
+            "<![CDATA[", "]]>", "<!", "<?", "=", "<SCRIPT>", "</Script>", "<a href=\"", "word", "\n", "<scripty>", "<math-x>"]
+    for k in range(6000):
+        html = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 30)))
+        expected = [(m.start(), m.end(), (m[3] or "").lower(), bool(m[2]), m[4] or "") for m in PATTERN.finditer(html)]
+        got = [(a, b, name, closing and bool(name), x) for a, b, name, closing, x in h.markup(html)]
+        assert got == expected, html
+
+
+@pytest.mark.parametrize("unit", [
+    "<a '", '<a "', "<a '\"", "<a", "<!", "<![CDATA[", "<script '", "<b>", "</b>", "<div>", "<i><hr>", "<script", "</script "])
+def test_long_broken_pages_take_linear_time(weights, unit):
+    before = time.process_time()
+    h.extract(unit * (1_000_000 // len(unit)), weights)
+    h.extract("<p><div>" + "<b>" * 100_000 + unit * 50_000 + "</x>" * 50_000, weights)
+    assert time.process_time() - before < 15
+
+
+def test_every_key_of_the_sample_is_weighed(spark):
+    rows = [(k, "<article>" + "".join(f"<p class='k{k}x{j}'>in</p>" for j in range(700)) + "</article>") for k in range(40)]
+    weights = h.learn(spark.createDataFrame(rows, "page_id long, html string"))
+    assert sum(key.endswith(f"p.k{k}x{j}") for k in (0, 39) for j in (0, 699) for key in weights.tags) == 4
+    assert len(weights.tags) > 28_000
