@@ -25,7 +25,9 @@ def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *[count("kind", k).alias(f"n_{k}") for k in secrets.KINDS],
         F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"),
-        *[count("class", k).alias(f"n_{k}") for k in ("live", "weak", "example")])
+        *[count("class", k).alias(f"n_{k}") for k in ("live", "weak", "example")],
+        *[F.coalesce(F.array_max(F.col(f"spans.{n}")), F.lit(0)).cast("long").alias(f"most_{n[2:]}")
+          for n in ("n_repos", "n_owners")])
 
 
 def op3_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,11 +3,11 @@
 Every candidate (kind, place, hash of the credential itself) is found in whole texts.
 The hashes are then counted over the corpus by distinct repositories and owners:
 
-* ``example``  the same credential stands with ``MIN_OWNERS`` owners or more: copied
-  documentation, test vectors, license hashes;
-* ``live``     it belongs to fewer owners and looks like key material (length and
-  entropy);
-* ``weak``     it belongs to fewer owners but does not.
+* ``example``  the same credential stands in ``MIN_REPOS`` repositories or more and with
+  ``MIN_OWNERS`` owners or more: copied documentation, test vectors, license hashes.
+  Many repositories of one owner, or many owners in one repository, are no example;
+* ``live``     it is rarer and looks like key material (length and entropy);
+* ``weak``     it is rarer but does not.
 
 Only distinct (hash, repository, owner) triples are counted, after a map-side combine,
 so one credential in a third of all documents is no hot task.  The driver sees nothing.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .tables import held
 
-MIN_OWNERS = 3
+MIN_OWNERS = MIN_REPOS = 3
 LIVE_LENGTH, LIVE_ENTROPY = 12, 3.0
 
 #: Kinds in the order in which spans with the same start are listed.
@@ -98,11 +98,15 @@ def _scanned(docs: DataFrame, text: str, keep_text: bool, only: bool | None = No
                            f"{schema + ', ' if kept else ''}__spans array<{SPAN}>")
 
 
-def ownership(spans: DataFrame, min_owners: int = MIN_OWNERS) -> DataFrame:
-    """``hash, n_repos, n_owners, copied`` from rows ``hash, repo, owner``."""
+def ownership(spans: DataFrame, min_owners: int = MIN_OWNERS, min_repos: int | None = None) -> DataFrame:
+    """``hash, n_repos, n_owners, copied`` from rows ``hash, repo, owner``; both counts decide.
+
+    Where ``min_repos`` is not given, it is ``min_owners``.
+    """
+    least = min_owners if min_repos is None else min_repos
     return (spans.select("hash", "repo", "owner").distinct().groupBy("hash")
             .agg(F.count_distinct("repo").alias("n_repos"), F.count_distinct("owner").alias("n_owners"))
-            .withColumn("copied", F.col("n_owners") >= min_owners))
+            .withColumn("copied", (F.col("n_owners") >= min_owners) & (F.col("n_repos") >= least)))
 
 
 def owner_of(repo: Column) -> Column:
@@ -110,23 +114,29 @@ def owner_of(repo: Column) -> Column:
     return F.substring_index(repo, "/", 1)
 
 
-def _classed(found: DataFrame, min_owners: int) -> DataFrame:
-    """Adds ``kind_of: map<hash, class>`` to rows ``uid, repo, owner, spans``; ``found`` is a written table."""
-    each = found.select("uid", "repo", "owner", F.explode("spans").alias("s")).select(
-        "uid", F.coalesce("repo", F.lit("")).alias("repo"),
-        F.coalesce("owner", F.lit("")).alias("owner"), F.col("s.hash").alias("hash"))
+def _classed(found: DataFrame, min_owners: int, min_repos: int | None) -> DataFrame:
+    """Adds ``n_repos, n_owners, class`` to the spans of rows ``uid, repo, owner, spans``; ``found`` is a written table."""
+    each = found.select(
+        "uid", F.coalesce("repo", F.lit("")).alias("repo"), F.coalesce("owner", F.lit("")).alias("owner"),
+        F.posexplode("spans").alias("at", "s")).withColumn("hash", F.col("s.hash"))
     # Written, so that Spark can split the join on a credential that stands everywhere.
-    counted = held(ownership(each, min_owners).select("hash", "copied"), "owners")
-    copied = (each.select("uid", "hash").distinct().join(counted.where("copied").select("hash"), "hash")
-              .groupBy("uid").agg(F.collect_list("hash").alias("copied")))
-    return found.join(copied, "uid", "left").withColumn("spans", F.transform("spans", lambda s: s.withField(
-        "class", F.when(F.array_contains(F.coalesce("copied", F.array()), s["hash"]), F.lit("example"))
-        .when(s["live_looking"], F.lit("live")).otherwise(F.lit("weak"))))).drop("copied")
+    counted = held(ownership(each, min_owners, min_repos), "owners")
+    label = (F.when(F.col("copied"), "example").when(F.col("s.live_looking"), "live").otherwise("weak"))
+    span = F.col("s").withField("n_repos", F.col("n_repos")).withField("n_owners", F.col("n_owners")).withField(
+        "class", label)
+    known = (each.select("uid", "at", "s", "hash").join(counted, "hash")
+             .select("uid", F.struct("at", span.alias("s")).alias("p"))
+             .groupBy("uid").agg(F.array_sort(F.collect_list("p")).alias("p")))      # the spans of one row
+    return found.drop("spans").join(known, "uid").withColumn("spans", F.col("p.s")).drop("p")
 
 
 def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: str = "source",
-                 owner: Column | None = None, min_owners: int = MIN_OWNERS) -> DataFrame:
-    """``doc_id, spans`` for every row; each span carries its ``class``.
+                 owner: Column | None = None, min_owners: int = MIN_OWNERS,
+                 min_repos: int | None = None) -> DataFrame:
+    """``doc_id, spans`` for every row; each span carries ``n_repos, n_owners, class`` of its credential.
+
+    ``owner`` is an expression over ``docs``; without one it is the part of ``repo`` before a
+    slash, so names without slashes are owners with one repository each.
 
     Null and empty texts have no spans.  A missing repository or owner counts as one
     nameless one.  Repeated rows each get their result.  Other columns are not looked at.
@@ -138,8 +148,9 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
     found = held(_scanned(rows, "text", False).withColumnRenamed("__spans", "spans")
                  .withColumn("uid", F.monotonically_increasing_id()), "candidates")
     empty = found.where("size(spans) = 0").select(
-        "doc_id", F.expr(f"cast(array() as array<{SPAN[:-1]},class:string>>)").alias("spans"))
-    return _classed(found.where("size(spans) > 0"), min_owners).select("doc_id", "spans").union(empty)
+        "doc_id", F.expr(f"cast(array() as array<{SPAN[:-1]},n_repos:bigint,n_owners:bigint,class:string>>)").alias("spans"))
+    classed = _classed(found.where("size(spans) > 0"), min_owners, min_repos)
+    return classed.select("doc_id", "spans").union(empty)
 
 
 def _redact(columns: int, marks: dict[str, str | None]):
@@ -164,7 +175,7 @@ def _redact(columns: int, marks: dict[str, str | None]):
 
 
 def redact_secrets(docs: DataFrame, text: str = "text", repo: str = "source", owner: Column | None = None,
-                   min_owners: int = MIN_OWNERS, live: str | None = "[SECRET]",
+                   min_owners: int = MIN_OWNERS, min_repos: int | None = None, live: str | None = "[SECRET]",
                    weak: str | None = "[SECRET]", example: str | None = "[EXAMPLE]") -> DataFrame:
     """``docs`` with credentials replaced by the mark of their class (None: left as they are).
 
@@ -181,6 +192,6 @@ def redact_secrets(docs: DataFrame, text: str = "text", repo: str = "source", ow
                        F.col(f"`{text}`").alias("text"))
     found = held(_scanned(rows, "text", True, only=True).withColumnRenamed("__spans", "spans")
                  .withColumn("uid", F.monotonically_increasing_id()), "candidates")
-    classed = _classed(found, min_owners).select("row", "text", "spans")
+    classed = _classed(found, min_owners, min_repos).select("row", "text", "spans")
     done = classed.mapInArrow(_redact(3, marks), rows.select("row", "text").schema)
     return clean.unionByName(done.select("row.*", F.col("text").alias(text)))

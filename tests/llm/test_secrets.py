@@ -1,7 +1,11 @@
+import hashlib
 import random
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from outcomelab.llm import catalog
 from outcomelab.llm import secrets as s
 
 HEX = "0123456789abcdef0123456789ab"
@@ -46,6 +50,58 @@ def test_ownership_separates_examples_from_own_keys(spark):
     assert (counts["n_repos"], counts["n_owners"], counts["copied"]) == (3, 2, False)
 
 
+def test_repositories_and_owners_both_decide(spark):
+    key = "token=a8Kd02mXq7Lp5Rt1"
+    one_owner = [(k, key, "me/r%d" % k, "me") for k in range(5)]
+    one_repo = [(10 + k, f"secret: Zk3vQ9xLw7Pa{HEX}", "shared/repo", f"user{k}") for k in range(5)]
+    both = [(20 + k, f"x {AKIA} {AKIA}", f"o{k}/r", f"o{k}") for k in range(3)]
+    docs = spark.createDataFrame(one_owner + one_repo + both, "doc_id long, text string, source string, who string")
+    got = {(r["doc_id"] // 10, x["kind"], x["n_repos"], x["n_owners"], x["class"])
+           for r in s.find_secrets(docs, owner=F.col("who")).collect() for x in r["spans"]}
+    assert got == {(0, "assign", 5, 1, "live"), (1, "assign", 1, 5, "live"), (1, "hex", 1, 5, "live"),
+                   (2, "access", 3, 3, "example")}
+    assert {x["class"] for r in s.find_secrets(docs, owner=F.col("who"), min_repos=1).where("doc_id BETWEEN 10 AND 19").collect()
+            for x in r["spans"]} == {"example"}
+
+
+def plain_row(rows, k):
+    """What op2 returns for row ``k``, from the stated patterns and plain sets over all rows."""
+    rules = (("assign", r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6),
+             ("access", r"(AKIA[A-Z0-9]+)", 20), ("hex", r"([0-9a-f]+)", 24))
+
+    def spans(text):
+        out = [(m.start(), n, kind, m.end(), m[1]) for n, (kind, pattern, least) in enumerate(rules)
+               for m in re.finditer(pattern, text or "", re.I | re.A if not n else 0) if len(m[1]) >= least]
+        return sorted(out)
+
+    mine = spans(rows[k][1])
+    owners = {}
+    for _, text, source in rows:
+        for x in spans(text):
+            owners.setdefault(x[4], set()).add((source or "").split("/")[0])
+    repos = {}
+    for _, text, source in rows:
+        for x in spans(text):
+            repos.setdefault(x[4], set()).add(source or "")
+    listed = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b, _ in mine)
+    example = [len(owners[x[4]]) >= 3 and len(repos[x[4]]) >= 3 for x in mine]
+    return (rows[k][0], *(sum(x[2] == kind for x in mine) for kind in s.KINDS), hashlib.sha256(listed.encode()).hexdigest(),
+            listed, sum(example), max((len(repos[x[4]]) for x in mine), default=0),
+            max((len(owners[x[4]]) for x in mine), default=0))
+
+
+def test_query_against_plain_sets(spark, tmp_path):
+    rng = random.Random(4)
+    values = ["hunter22", "abc", HEX, AKIA, "a8Kd02mXq7Lp5Rt1", "k" * 30, HEX.upper(), "0" * 23]
+    heads = ["password = ", "API-key:", "api_key='", "TOKEN:", "é secret=\"", "", "xx", "漢"]
+    rows = [(k, " ".join(rng.choice(heads) + rng.choice(values) for _ in range(rng.randrange(6))) if k % 9 else None,
+             rng.choice(["a/x", "a/y", "a/z", "b/x", "c/x", "src1", None])) for k in range(80)]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = catalog.op2_secret_ownership(spark, str(tmp_path)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_example", "most_repos", "most_owners").collect()
+    assert sorted(map(tuple, got)) == [plain_row(rows, k) for k in range(len(rows))]
+
+
 def test_redaction(spark):
     rows = [(1, f"k password='{HEX}' end {AKIA}.", "a/b"), (2, "clean", "a/b"), (3, None, None),
             (4, f"é {HEX} é", "c/d"), (4, f"é {HEX} é", "c/d")]
