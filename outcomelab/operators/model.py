@@ -224,9 +224,28 @@ def use_checkpoints(df: DataFrame) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
-def fit(candidate: Candidate, train: DataFrame, label: str, validation: str | None = None,
-        hold_input: bool = True) -> PipelineModel:
-    """Fit preparation and learner on the table; both end up in one saved model.
+@dataclass(frozen=True)
+class Prepared:
+    """A table after its preparation, held for as many fits as are wanted."""
+
+    preparation: PipelineModel
+    ready: DataFrame            # label, features, weight and validation flag where wanted
+    rows: float
+    bins: int
+    label: str
+    validation: str | None
+
+
+def preparation_of(candidate: Candidate) -> tuple:
+    """What a candidate's preparation depends on; its learner's parameters are no part of it."""
+    return (tuple(candidate.numeric), tuple(candidate.categorical), candidate.kind == "logistic",
+            candidate.encode, candidate.min_frequency, candidate.weighted)
+
+
+@contextmanager
+def prepared(candidate: Candidate, train: DataFrame, label: str, validation: str | None = None,
+             hold_input: bool = True):
+    """Fit the candidate's preparation and hold the table it gives, for ``fit_learner``.
 
     Rows flagged by ``validation`` steer early stopping only: the preparation
     and the class weights come from the others.  Preparation reads the table
@@ -257,11 +276,38 @@ def fit(candidate: Candidate, train: DataFrame, label: str, validation: str | No
             sizes = [len(labels) + 1 for stage in prep.stages if hasattr(stage, "labelsArray")
                      for labels in stage.labelsArray]
             bins = max([bins, *sizes])
-        model = learner(candidate.kind, label, rows, candidate.seed, validation,
-                        candidate.weighted, bins, **candidate.params).fit(ready)
+        yield Prepared(prep, ready, rows, bins, label, validation)
     finally:
         ready.unpersist()
-    return PipelineModel(stages=[*prep.stages, model])
+
+
+def fit_learner(candidate: Candidate, table: Prepared) -> PipelineModel:
+    """The candidate's learner alone, fitted on a table prepared for it; scores such tables."""
+    return PipelineModel(stages=[learner(
+        candidate.kind, table.label, table.rows, candidate.seed, table.validation,
+        candidate.weighted, table.bins, **candidate.params).fit(table.ready)])
+
+
+def fit(candidate: Candidate, train: DataFrame, label: str, validation: str | None = None,
+        hold_input: bool = True) -> PipelineModel:
+    """Fit preparation and learner on the table; both end up in one saved model.
+
+    ``validation`` and ``hold_input`` as in ``prepared``.
+    """
+    with prepared(candidate, train, label, validation, hold_input) as table:
+        return PipelineModel(stages=[*table.preparation.stages, *fit_learner(candidate, table).stages])
+
+
+@contextmanager
+def prepared_pair(candidate: Candidate, train: DataFrame, test: DataFrame, label: str):
+    """``(prepared train, prepared test)`` of tables that the caller holds; both are kept until the end."""
+    with prepared(candidate, train, label, hold_input=False) as table:
+        judged = table.preparation.transform(test).select(label, FEATURES)
+        judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            yield table, judged
+        finally:
+            judged.unpersist()
 
 
 def auc_of(model: PipelineModel, df: DataFrame, label: str) -> float:
@@ -285,18 +331,26 @@ def evaluate_fit(model: PipelineModel, df: DataFrame, label: str) -> dict[str, f
 
 def cross_validate(candidates: Sequence[Candidate], df: DataFrame, label: str, fold: str,
                    parallelism: int = 2) -> DataFrame:
-    """``(model, fold, auc)``: each fold is scored by a model fitted on the others."""
+    """``(model, fold, auc)``: each fold is scored by a model fitted on the others.
+
+    Candidates with one preparation share it: it is fitted once a fold.
+    """
     wanted = [label, fold, *[c for x in candidates for c in (*x.numeric, *x.categorical)]]
+    shared: dict[tuple, list[int]] = {}
+    for i, candidate in enumerate(candidates):
+        shared.setdefault(preparation_of(candidate), []).append(i)
     with held(df, wanted) as table:
         folds = sorted(r[fold] for r in table.select(fold).distinct().collect())
 
-        def run(task: tuple[Candidate, int]) -> tuple[str, int, float]:
-            candidate, k = task
-            model = fit(candidate, table.where(F.col(fold) != k), label, hold_input=False)
-            return candidate.name, k, auc_of(model, table.where(F.col(fold) == k), label)
+        def run(task: tuple[int, list[int]]) -> list[tuple[int, int, float]]:
+            k, group = task
+            with prepared_pair(candidates[group[0]], table.where(F.col(fold) != k),
+                               table.where(F.col(fold) == k), label) as (train, test):
+                return [(i, k, auc_of(fit_learner(candidates[i], train), test, label)) for i in group]
 
         with ThreadPool(parallelism) as pool:
-            rows = pool.map(run, [(c, k) for c in candidates for k in folds])
+            found = pool.map(run, [(k, group) for group in shared.values() for k in folds])
+    rows = [(candidates[i].name, k, auc) for i, k, auc in sorted(x for part in found for x in part)]
     return df.sparkSession.createDataFrame(rows, "model string, fold int, auc double")
 
 
@@ -339,7 +393,8 @@ def search(base: Candidate, space: Mapping[str, tuple], train: DataFrame, label:
            ) -> tuple[Candidate, DataFrame]:
     """Random search; returns the best candidate and the trial log ``(trial, params, value)``.
 
-    Trials are judged on ``validate``, or by cross-validation over ``fold``.
+    Trials are judged on ``validate``, or by cross-validation over ``fold``.  They differ in
+    the learner's parameters alone, so the preparation is fitted once (once a fold).
     """
     if (validate is None) == (fold is None):
         raise ValueError("give either a validation table or a fold column")
@@ -348,18 +403,16 @@ def search(base: Candidate, space: Mapping[str, tuple], train: DataFrame, label:
         auc_of if objective == "auc" else f1_at
     wanted = [label, *base.numeric, *base.categorical, *([fold] if fold else [])]
     with held(train, wanted) as table:
-        folds = sorted(r[fold] for r in table.select(fold).distinct().collect()) if fold else []
-
-        def run(i: int) -> float:
-            trial = Candidate(**{**base.__dict__, "params": {**base.params, **settings[i]}})
-            if validate is not None:
-                return judge(fit(trial, table, label, hold_input=False), validate, label)
-            values = [judge(fit(trial, table.where(F.col(fold) != k), label, hold_input=False),
-                            table.where(F.col(fold) == k), label) for k in folds]
-            return sum(values) / len(values)
-
-        with ThreadPool(parallelism) as pool:
-            values = pool.map(run, range(n_trials))
+        pairs = [(table, validate)] if fold is None else [
+            (table.where(F.col(fold) != k), table.where(F.col(fold) == k))
+            for k in sorted(r[fold] for r in table.select(fold).distinct().collect())]
+        trials = [Candidate(**{**base.__dict__, "params": {**base.params, **s}}) for s in settings]
+        totals = [0.0] * n_trials
+        for train_part, test_part in pairs:
+            with prepared_pair(base, train_part, test_part, label) as (ready, judged), ThreadPool(parallelism) as pool:
+                found = pool.map(lambda trial: judge(fit_learner(trial, ready), judged, label), trials)
+            totals = [a + b for a, b in zip(totals, found)]
+    values = [total / len(pairs) for total in totals]
     best = max(range(n_trials), key=lambda i: (values[i], -i))
     log = train.sparkSession.createDataFrame(
         [(i, {k: str(v) for k, v in s.items()}, values[i]) for i, s in enumerate(settings)],

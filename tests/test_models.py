@@ -166,3 +166,25 @@ def test_one_rule_for_unseen_levels_however_many_rare_ones(spark, table, monkeyp
     assert sorted(found[0]) == sorted(found[1])
     joined = prep.transform(train.withColumn("extra", F.lit(1)))
     assert joined.count() == train.count() and "__rare_k" not in joined.columns
+
+
+def test_preparation_is_fitted_once_a_fold(table, monkeypatch):
+    folded = stratified_folds(table, "y", "id", 2)
+    calls = []
+    plain = M.fit_preparation
+    monkeypatch.setattr(M, "fit_preparation", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    space = {"maxDepth": ("choice", 2, 3, 4), "numTrees": ("choice", 3, 4)}
+    settings = M.draw(space, 3, 42)
+    base = candidate("forest")
+    _, log = M.search(base, space, folded, "y", 3, fold="fold")
+    assert len(calls) == 2
+    for r in log.collect():        # the same values as with everything fitted anew
+        trial = M.Candidate(**{**base.__dict__, "params": {**base.params, **settings[r["trial"]]}})
+        aucs = [M.auc_of(M.fit(trial, folded.where(F.col("fold") != k), "y"), folded.where(F.col("fold") == k), "y")
+                for k in (0, 1)]
+        assert r["value"] == pytest.approx(sum(aucs) / 2, abs=0.02)
+    calls.clear()
+    pair = [candidate("forest"), M.Candidate(**{**base.__dict__, "name": "deep", "params": {"numTrees": 3, "maxDepth": 4}}),
+            candidate("logistic")]
+    scores = M.cross_validate(pair, folded, "y", "fold").collect()
+    assert len(calls) == 4 and len(scores) == 6 and {r["model"] for r in scores} == {x.name for x in pair}
