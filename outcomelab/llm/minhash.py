@@ -11,9 +11,10 @@ smallest id, stands for it.
 3. *Components* by alternating large-star and small-star.
 4. *The rest of a bucket.*  Where a bucket still holds several components, members
    outside the largest are compared with all members, block by block inside the
-   tasks: on signatures, then on full sets.  Pairs stay inside the tasks; what
-   comes out is at most a spanning forest of each block.  Buckets whose members
-   hang together, however many there are, cost nothing here.
+   tasks: on signatures, then on full sets.  Pairs stay inside the tasks, also those
+   that only the signatures let through; what is written is each block's members that
+   agree with any other, and at most a spanning forest of links.  Buckets whose
+   members hang together, however many there are, cost nothing here.
 
 So no group is paired with itself, and the components are those of all links found
 by banding.
@@ -218,43 +219,43 @@ class _Linker:
             _similar(self.num, self.den), "a long, b long"), "links")
 
 
-def _compare_blocks(least: float):
-    """One block of a bucket's members against one block of its minor members."""
+def _agreeing_in_cell(bucket: int, table: pa.Table, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Row of a visitor and rows of the members at home whose signatures agree with its own.
+
+    Members of one component, a pair's second meeting in this bucket and pairs that also
+    meet in an earlier band are left out.
+    """
+    ids = table.column("id").to_numpy()
+    comp = table.column("component").to_numpy()
+    role = table.column("minor").to_numpy(zero_copy_only=False)     # as a visitor
+    also = table.column("is_minor").to_numpy(zero_copy_only=False)  # a member that visits too
+    signs = _numbers(table.column("sign").combine_chunks(), np.uint32, HASHES)
+    keys = band_keys(signs)
+    band = int(np.flatnonzero((keys == np.uint64(bucket & 0xFFFFFFFFFFFFFFFF)).all(axis=0))[0])
+    home = np.flatnonzero(~role)
+    for i in np.flatnonzero(role):
+        others = home[(comp[home] != comp[i]) & (~also[home] | (ids[home] > ids[i]))]
+        others = others[(signs[others] == signs[i]).mean(axis=1) >= least]
+        others = others[~(keys[others, :band] == keys[i, :band]).any(axis=1)]
+        if len(others):
+            yield int(i), others
+
+
+def _named_in_cell(least: float):
+    """The rows of one block of members and one of visitors that agree with any row of the other."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_numpy()
-        comp = table.column("component").to_numpy()
-        role = table.column("minor").to_numpy(zero_copy_only=False)     # as a visitor
-        also = table.column("is_minor").to_numpy(zero_copy_only=False)  # a member that visits too
-        signs = _numbers(table.column("sign").combine_chunks(), np.uint32, HASHES)
-        keys = band_keys(signs)
-        bucket = np.uint64(key[0].as_py() & 0xFFFFFFFFFFFFFFFF)
-        band = int(np.flatnonzero((keys == bucket).all(axis=0))[0])
-        home = np.flatnonzero(~role)
-        named: set[int] = set()
-        out: list[tuple[int, list[int]]] = []
-        for i in np.flatnonzero(role):
-            others = home[(comp[home] != comp[i]) & (~also[home] | (ids[home] > ids[i]))]
-            others = others[(signs[others] == signs[i]).mean(axis=1) >= least]
-            # A pair that also meets in an earlier band is compared there.
-            others = others[~(keys[others, :band] == keys[i, :band]).any(axis=1)]
-            if len(others):
-                out.append((int(ids[i]), ids[others].tolist()))
-                named.update(out[-1][1])
-        out += [(x, []) for x in sorted(named.difference(x for x, _ in out))]
-        return pa.table({
-            **{c: pa.array([k.as_py()] * len(out), t) for c, k, t in
-               zip(GRID, key, (pa.int64(), pa.int32(), pa.int32()))},
-            "id": pa.array([x for x, _ in out], pa.int64()),
-            "partners": pa.array([p for _, p in out], pa.list_(pa.int64()))})
+        named = np.zeros(len(table), bool)
+        for i, others in _agreeing_in_cell(key[0].as_py(), table, least):
+            named[i] = named[others] = True
+        return table.filter(pa.array(named))
     return run
 
 
-def _link_blocks(num: int, den: int):
-    """Checks the proposals of one block on full sets; no links beyond a spanning forest."""
+def _link_in_cell(least: float, num: int, den: int):
+    """Links of one cell, confirmed on full sets; no more of them than a spanning forest."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         ids = table.column("id").to_pylist()
-        sets = {i: np.frombuffer(m.as_buffer(), np.uint64)
-                for i, m in zip(ids, table.column("members"))}
+        sets = [np.frombuffer(m.as_buffer(), np.uint64) for m in table.column("members")]
         root = {i: i for i in ids}
 
         def find(i: int) -> int:
@@ -263,12 +264,13 @@ def _link_blocks(num: int, den: int):
             return i
 
         a, b = [], []
-        for i, partners in zip(ids, table.column("partners").to_pylist()):
-            for j in partners:
-                if find(i) != find(j) and _enough(sets[i], sets[j], num, den):
-                    root[find(i)] = find(j)
-                    a.append(max(i, j))
-                    b.append(min(i, j))
+        for i, others in _agreeing_in_cell(key[0].as_py(), table, least):
+            for j in others:
+                x, y = ids[i], ids[j]
+                if find(x) != find(y) and _enough(sets[i], sets[j], num, den):
+                    root[find(x)] = find(y)
+                    a.append(max(x, y))
+                    b.append(min(x, y))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return run
 
@@ -329,12 +331,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             "key", "id", "component", "is_minor", F.lit(True).alias("minor"),
             F.explode(line("blocks")).alias("block"), place("visits").alias("visit"))
         spread = at_home.union(visiting).join(classes.select("id", "sign"), "id")
-        proposed = held(spread.groupBy(*GRID).applyInArrow(
-            _compare_blocks(_least_agreement(num, den)),
-            "key long, block int, visit int, id long, partners array<long>"), "proposed")
-        sets = linker.sets(proposed.select("id"))
-        more = held(proposed.join(sets, "id").groupBy(*GRID).applyInArrow(
-            _link_blocks(num, den), "a long, b long").distinct(), "links")
+        # A first pass names the rows whose sets are needed; the second finds their pairs anew.
+        least = _least_agreement(num, den)
+        named = held(spread.groupBy(*GRID).applyInArrow(_named_in_cell(least), spread.schema), "named")
+        sets = linker.sets(named.select("id"))
+        more = held(named.join(sets, "id").groupBy(*GRID).applyInArrow(
+            _link_in_cell(least, num, den), "a long, b long").distinct(), "links")
         # The stars that are there, and the links between them.
         stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = components(stars.union(more))

@@ -69,6 +69,29 @@ def test_rest_of_buckets_in_many_blocks(docs_of, rows, monkeypatch):
     assert sorted(tuple(r)[:3] for r in got) == brute(rows, 85, 100)
 
 
+def test_a_group_below_the_threshold_is_written_in_proportion(docs_of, monkeypatch):
+    """Texts of similarity about 0.75 agree pair by pair on signatures; no list of pairs is written."""
+    written = {}
+
+    def counting(df, name, held=m.held):
+        out = held(df, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(m, "held", counting)
+    rng = random.Random(9)
+    base = prose(60, 200)
+    rows = [(k, near(base, 3, rng)) for k in range(120)]
+    open_rows = []
+    for n in (60, 120):
+        written.clear()
+        got = m.document_components(docs_of(rows[:n]), num=85, den=100).collect()
+        assert sorted(tuple(r)[:3] for r in got) == brute(rows[:n], 85, 100)
+        assert 0 < written["named"] <= 2 * m.BANDS * n and written["links"] <= 2 * m.BANDS * n
+        open_rows.append(written["named"])
+    assert open_rows[1] < 2.5 * open_rows[0]
+
+
 def test_nulls_repeated_ids_and_clashing_names(docs_of):
     long = prose(1, 50)
     rows = [(3, long), (3, long), (None, long), (None, prose(2, 50)), (5, prose(3, 50)), (5, long), (7, None)]
