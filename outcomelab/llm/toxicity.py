@@ -39,10 +39,11 @@ TRAIN_TOXIC, TRAIN_CLEAN = 1500, 4500
 TRAIN_CHARS = 40_000
 #: Bytes of the sample that are cut into parts together.
 TRAIN_CHUNK = 1 << 18
-#: Parts that stand in fewer training texts have no vector: they would only learn single texts.
-LEAST_TEXTS = 20
-LEAST_STEPS = 450       # a small sample is gone through more often
-EPOCHS, BATCH, RATE, SHRINK, SEED = 5, 64, 0.03, 0.025, 5
+#: Parts that stand in a smaller share of the training texts, or in one only, have no
+#: vector: they would only learn single texts.
+LEAST_SHARE = 0.001
+#: Training is so many batches, whatever the size of the sample.
+STEPS, BATCH, RATE, SHRINK, SEED = 470, 64, 0.03, 0.025, 5
 THRESHOLD = 0.7
 
 
@@ -127,7 +128,7 @@ class Model:
         return np.concatenate(out)
 
 
-def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed: int = SEED) -> Model:
+def train(texts: list[str | None], labels: list[int], steps: int | None = None, seed: int = SEED) -> Model:
     """Vectors and outputs together, by Adam on batches; both labels weigh the same in total."""
     rng = np.random.Generator(np.random.PCG64(seed))
     y = np.array(labels, np.int64)
@@ -138,7 +139,7 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed
     texts_with = np.zeros(BUCKETS, np.int32)
     for runs in bags(column):
         texts_with[np.unique(np.concatenate([found for found, _ in runs]))] += 1
-    known = texts_with >= min(LEAST_TEXTS, 1 + len(y) // 50)
+    known = texts_with >= max(2, LEAST_SHARE * len(y))
     place = np.cumsum(known, dtype=np.int32) - 1
     x = [[(place[found[known[found]]], share[known[found]]) for found, share in runs] for runs in bags(column)]
     width = int(known.sum())
@@ -150,13 +151,11 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed
     first = [np.zeros_like(v) for v in values]
     second = [np.zeros_like(v) for v in values]
     dense = np.zeros((BATCH, width), np.float32)
-    per_epoch = -(-len(y) // BATCH)
-    epochs = max(epochs, -(-LEAST_STEPS // per_epoch))
-    step, steps = 0, epochs * per_epoch
-    for _ in range(epochs):
+    step, steps = 0, STEPS if steps is None else steps
+    while step < steps:
         order = rng.permutation(len(y))
         table = vectors @ (outputs[:, 1] - outputs[:, 0])
-        for at in range(0, len(order), BATCH):
+        for at in range(0, len(order), BATCH)[:steps - step]:
             rows = order[at:at + BATCH]
             dense[:] = 0
             for r, d in enumerate(rows):

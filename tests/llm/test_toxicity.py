@@ -1,4 +1,6 @@
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -43,6 +45,29 @@ def test_misspellings_score_like_the_word(model):
     assert scores[0] < t.THRESHOLD <= scores[1] and scores[2] > scores[0] + 0.1
 
 
+def test_scores_equal_slow_rescoring(model):
+    """Word by word: parts from the word alone, runs and means in plain Python."""
+    texts = [*corpus(12, 11)[0], *(" ".join(corpus(4, k)[0]) for k in (12, 13)), "Stupid stupid, STUPID", "x " * 600]
+
+    def value(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        _, _, buckets = t.word_parts(t.split_words(data, np.array([0, len(data)]), t.NOT_ALNUM, True))
+        return sum(float(model.table[b]) for b in buckets) / len(buckets)
+
+    want = []
+    for text in texts:
+        words = re.findall(r"[a-z]+", text.lower())
+        runs = -(-len(words) // t.RUN)
+        cuts = [k * len(words) // runs for k in range(runs + 1)]
+        odds = []
+        for low, high in zip(cuts, cuts[1:]):
+            distinct = set(words[low:high])
+            odds.append(model.bias + t.STRETCH * sum(map(value, distinct)) / (len(distinct) + t.PAD))
+        want.append(1 / (1 + math.exp(-max(odds))))
+    assert max(len(text.split()) for text in texts) > 2 * t.RUN
+    assert model.scores(pa.array(texts)) == pytest.approx(want, abs=1e-5)
+
+
 def test_edge_texts(model):
     long = " ".join(corpus(1, 5)[0] * 300)
     scores = model.scores(pa.array([None, "", " . ", "x", "漢字 é", long, "line again\n" * 5000]))
@@ -60,7 +85,7 @@ def test_training_without_two_labels():
 
 
 def test_fit_and_score_tables(spark, docs_of, monkeypatch):
-    monkeypatch.setattr(t, "LEAST_STEPS", 60)
+    monkeypatch.setattr(t, "STEPS", 60)
     texts, y = corpus(120, 7)
     rows = list(enumerate(texts)) + [(None, texts[0]), (300, None), (301, ""), (0, texts[0])]
     docs = docs_of(rows, ["1 AS score", "2 AS id", "3 AS y", "4 AS draw"])
@@ -90,7 +115,7 @@ def test_long_texts_and_copies_take_no_places_of_the_sample(spark, docs_of, monk
 
 
 def test_query_learns_from_other_rows_only(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(t, "LEAST_STEPS", 60)
+    monkeypatch.setattr(t, "STEPS", 60)
     texts, y = corpus(90, 8)
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     wrong = [(k, 1 - v if zlib.crc32(str(k).encode()) % 3 == 1 else v) for k, v in enumerate(y)]
