@@ -113,3 +113,34 @@ def test_top_rows_small_and_large_agree(spark):
     large = top_rows(df, "x", "id", 40, limit=10).orderBy("rank").collect()
     assert [(r["id"], r["rank"]) for r in small] == [(r["id"], r["rank"]) for r in large]
     assert top_rows(df, "x", "id", 1000).count() == 500
+
+
+def jobs_of(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), out
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_quantile_work_does_not_grow_with_their_number(spark):
+    values = sample("unique", 2000)
+    df = spark.createDataFrame([(v, -v) for v in values], "x double, z double")
+    few, many = [0.5], [i / 60 for i in range(61)]
+    small, _ = jobs_of(spark, "few", lambda: quantiles(df, ["x", "z"], few, budget=300, accuracy=100, batch=10))
+    large, got = jobs_of(spark, "many", lambda: quantiles(df, ["x", "z"], many, budget=300, accuracy=100, batch=10))
+    assert large <= small + 2
+    assert got[(None, "x")] == pytest.approx(list(np.quantile(values, many)), rel=1e-12)
+    assert got[(None, "z")] == pytest.approx(list(np.quantile([-v for v in values], many)), rel=1e-12)
+
+
+def test_quantiles_with_infinities_signed_zeros_and_a_rare_group(spark):
+    inf = float("inf")
+    values = [-inf] * 40 + [inf] * 60 + [0.0, -0.0] * 50 + [1e308, -1e308, 5e-324] + [float(i) for i in range(54)]
+    rows = [(v, "often") for v in values] + [(v, "rare") for v in (3.0, 1.0, 2.0)] + [(4.0, None)]
+    df = spark.createDataFrame(rows, "x double, g string").repartition(3)
+    probs = [i / 256 for i in range(257)]                # every rank of the frequent group
+    got = quantiles(df, ["x"], probs, by="g", budget=20, accuracy=20)
+    assert got[("often", "x")] == sorted(values)
+    assert quantiles(df, ["x"], [0.0, 0.5, 1.0], by="g", budget=20, accuracy=20)[("rare", "x")] == [1.0, 2.0, 3.0]
