@@ -3,10 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from catalog.models import split_cohort
 from outcomelab.operators import model as M
 from outcomelab.operators.score import score_with
 from outcomelab.operators.split import stratified_folds, stratified_split
 from outcomelab.plans import experiments
+from outcomelab.plans.order_cohort import order_cohort
 from outcomelab.sources.models import load_and_score, load_model, save_model
 
 NUMERIC = ("x", "z")
@@ -188,3 +190,9 @@ def test_preparation_is_fitted_once_a_fold(table, monkeypatch):
             candidate("logistic")]
     scores = M.cross_validate(pair, folded, "y", "fold").collect()
     assert len(calls) == 4 and len(scores) == 6 and {r["model"] for r in scores} == {x.name for x in pair}
+
+
+def test_the_cohort_is_joined_once_for_all_parts(spark, folder):
+    parts = split_cohort(spark, folder)
+    assert parts.count() == order_cohort(spark, folder).count()
+    assert not any("lineitem" in f for f in parts.inputFiles())

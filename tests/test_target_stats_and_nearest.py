@@ -46,6 +46,17 @@ def test_a_hot_level_is_spread_over_the_buckets(spark):
     assert all("__bucket" in line for line in plan.splitlines() if "Window" in line and "specifiedwindow" in line)
 
 
+def test_work_grows_linearly_with_the_columns(spark):
+    df = spark.range(20).select("id", *[(F.col("id") % k).alias(f"k{k}") for k in (2, 3, 4, 5)],
+                                (F.col("id") % 2).alias("y"))
+
+    def windows(*columns):
+        out = T.ordered_target_statistics(df, columns, "y", "id")
+        return out._jdf.queryExecution().optimizedPlan().toString().count("Window [")
+
+    assert windows("k2", "k3", "k4", "k5") <= 4 * windows("k2")
+
+
 def test_fitted_statistics_of_seen_unseen_and_missing_levels(spark):
     train = spark.createDataFrame(rows_with_a_hot_level(), "id long, k string, y int")
     fitted = T.fit_target_statistics(train, ["k"], "y")
