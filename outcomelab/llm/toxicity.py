@@ -44,6 +44,8 @@ TRAIN_CHUNK = 1 << 18
 LEAST_SHARE = 0.001
 #: Training is so many batches, whatever the size of the sample.
 STEPS, BATCH, RATE, SHRINK, SEED = 470, 64, 0.03, 0.025, 5
+#: Fewer batches are never made, however ``STEPS`` is set.
+LEAST_STEPS = 1
 THRESHOLD = 0.7
 
 
@@ -151,7 +153,7 @@ def train(texts: list[str | None], labels: list[int], steps: int | None = None,
     first = [np.zeros_like(v) for v in values]
     second = [np.zeros_like(v) for v in values]
     dense = np.zeros((BATCH, width), np.float32)
-    step, steps = 0, STEPS if steps is None else steps
+    step, steps = 0, max(STEPS, LEAST_STEPS) if steps is None else steps
     while step < steps:
         order = rng.permutation(len(y))
         table = vectors @ (outputs[:, 1] - outputs[:, 0])
