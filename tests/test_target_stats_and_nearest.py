@@ -108,6 +108,17 @@ def test_neighbour_information_equals_all_pairs(spark, k, buckets):
     assert [tuple(r) for r in nothing] == [("a", None)]
 
 
+def test_rows_of_a_class_do_not_meet_in_one_task(spark):
+    values = spark.range(100).select((F.col("id") % 2).alias("y"), F.col("id").cast("double").alias("x"),
+                                     F.lit(1).cast("long").alias("n"), F.lit(0.0).alias(nearest.BUCKET))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = nearest._radii(values, 3)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_digamma(spark):
     got = spark.range(1, 60).select(nearest.digamma(F.col("id")).alias("v")).collect()
     assert [r["v"] for r in got] == pytest.approx([psi(n) for n in range(1, 60)], abs=1e-11)
