@@ -197,3 +197,24 @@ def test_node_table_of_a_spark_forest_gives_its_own_importance(spark, table):
         for r in rows:
             share[r["feature"]] = share.get(r["feature"], 0) + r["gain"] / total / 4
     assert [share.get(n, 0.0) for n in names] == pytest.approx(last.featureImportances.toArray().tolist())
+
+
+def test_bins_are_found_by_search_and_closed_on_the_right(spark):
+    inf = float("inf")
+    edges = {"a": [-inf, -1.5, 0.0, 2.0, inf], "b": [], "c": [1.7976931348623157e308]}
+    xs = [None, float("nan"), -inf, -2.0, -1.5, -0.0, 0.0, 1e-300, 2.0, 2.5, inf]
+    df = spark.createDataFrame([(x, x, x) for x in xs], "a double, b double, c double")
+    got = [r["bins"] for r in B.with_bins(df, ["a", "b", "c"], edges).collect()]
+    assert got == [[0 if x is None or x != x else 1 + sum(x > e for e in edges[c]) for c in "abc"] for x in xs]
+    # A ladder of comparisons per column is too long a method for the compiler of the executors.
+    plan = B.with_bins(df, ["a"], {"a": [float(i) for i in range(60)]})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<=") < 10
+
+
+def test_target_statistics_of_a_fit_are_made_once(spark, folder):
+    from catalog import learning
+
+    rows = learning.fitting(spark, folder)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+    assert rows.count() == spark.read.parquet(f"{folder}/orders.parquet").count()
