@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from outcomelab.operators import ordering
 from outcomelab.operators.ordering import (
     quantiles, ranked_rows, running_totals, sketch_edges, top_rows,
 )
@@ -144,3 +145,28 @@ def test_quantiles_with_infinities_signed_zeros_and_a_rare_group(spark):
     got = quantiles(df, ["x"], probs, by="g", budget=20, accuracy=20)
     assert got[("often", "x")] == sorted(values)
     assert quantiles(df, ["x"], [0.0, 0.5, 1.0], by="g", budget=20, accuracy=20)[("rare", "x")] == [1.0, 2.0, 3.0]
+
+
+def test_quantiles_outside_each_group(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([0, 0, 1, 2, None]), rng.choice([None, float("nan"), 5.0, 5.0, rng.gauss(0, 9)]),
+             float(i % 7) if i % 3 else None, None) for i in range(900)]
+    df = spark.createDataFrame(rows, "fold int, x double, y double, empty double")
+    probs, columns = [0.0, 0.3, 0.5, 1.0], ["x", "y", "empty"]
+    for budget in (20, 100_000):
+        got = ordering.quantiles_outside(df, columns, probs, "fold", budget=budget, accuracy=10)
+        want = {(k, c): v for k in (0, 1, 2) for (_, c), v in ordering.quantiles(
+            df.where(F.col("fold") != k), columns, probs, budget=budget, accuracy=10).items()}
+        assert got == want
+    assert ordering.quantiles_outside(df.where("fold = 1"), ["x"], [0.5], "fold") == {(1, "x"): [None]}
+
+
+def test_folds_share_the_passes_of_a_quantile(spark, monkeypatch):
+    passes = []
+    refine = ordering._refine
+    monkeypatch.setattr(ordering, "_refine", lambda *a: passes.append(1) or refine(*a))
+    df = spark.range(3000).select((F.col("id") % 5).alias("fold"), F.sin("id").alias("x"))
+    ordering.quantiles_outside(df, ["x"], [0.5], "fold", budget=2000)
+    five = len(passes)
+    ordering.quantiles_outside(df.withColumn("fold", F.col("fold") % 2), ["x"], [0.5], "fold", budget=1000)
+    assert five == len(passes) - five
