@@ -196,3 +196,11 @@ def test_the_cohort_is_joined_once_for_all_parts(spark, folder):
     parts = split_cohort(spark, folder)
     assert parts.count() == order_cohort(spark, folder).count()
     assert not any("lineitem" in f for f in parts.inputFiles())
+
+
+def test_scores_are_held_while_they_are_judged(table, monkeypatch):
+    seen, judge = [], M.metrics
+    monkeypatch.setattr(M, "metrics", lambda df, *a: seen.append(df.storageLevel.useMemory) or judge(df, *a))
+    model = M.fit(candidate("logistic"), part(table, "train"), "y")
+    assert set(M.evaluate_fit(model, part(table, "val"), "y")) == {"accuracy", "precision", "recall", "f1", "roc_auc"}
+    assert seen == [True]
