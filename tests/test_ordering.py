@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from outcomelab.operators import ordering
 from outcomelab.operators.ordering import (
-    quantiles, ranked_rows, running_totals, sketch_edges, top_rows,
+    pooled_steps, quantiles, ranked_rows, running_totals, sketch_edges, top_rows,
 )
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.7, 0.99, 1.0]
@@ -125,6 +125,42 @@ def jobs_of(spark, group, work):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_a_sketch_is_not_merged_in_one_task(spark):
+    df = spark.range(0, 40_000, 1, 24).select(F.rand(3).alias("x"))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        _, (edges, _) = jobs_of(spark, "sketch", lambda: sketch_edges(df, "x", 20))
+    finally:
+        spark.conf.set(coalesce, before)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("sketch")
+              for s in tracker.getJobInfo(j).stageIds]
+    assert min(s.numTasks for s in stages if s) > 1
+    assert edges == pytest.approx([i / 20 for i in range(1, 20)], abs=0.03)
+
+
+def test_pooled_steps():
+    assert pooled_steps([], 4) == []
+    assert pooled_steps([(9, [1.0, 2.0, 3.0])], 4) == [1.0, 2.0, 3.0]
+    # A large group weighs more than a small one, and a group of one value fills its steps.
+    assert pooled_steps([(1, [0.0, 0.0, 0.0]), (300, [5.0, 6.0, 7.0])], 4) == [5.0, 6.0, 7.0]
+    assert pooled_steps([(10, [1.0, 1.0, 1.0]), (10, [2.0, 3.0, 4.0])], 4) == [1.0, 1.0, 3.0]
+
+
+def test_sketch_of_unlike_partitions(spark):
+    # Sorted over the partitions, one value on half of the rows, some groups without any value.
+    df = spark.range(0, 4000, 1, 40).select(
+        F.when(F.col("id") < 2000, F.col("id") / 10).when(F.col("id") < 3900, 1000.0).alias("x"))
+    edges, frequent = sketch_edges(df, "x", 40)
+    assert set(frequent) == {1000.0} and abs(frequent[1000.0] - 19) <= 2
+    rows = np.array([min(i / 10, 200) if i < 2000 else 1000.0 for i in range(3900)])
+    inside = np.histogram(rows, [-np.inf, *edges, np.inf])[0]
+    assert sorted(inside)[-2] <= 3 * 3900 / 40
+    assert sketch_edges(df.where("x IS NULL"), "x", 40) == ([], {})
+
+
 def test_quantile_work_does_not_grow_with_their_number(spark):
     values = sample("unique", 2000)
     df = spark.createDataFrame([(v, -v) for v in values], "x double, z double")
