@@ -204,3 +204,19 @@ def test_scores_are_held_while_they_are_judged(table, monkeypatch):
     model = M.fit(candidate("logistic"), part(table, "train"), "y")
     assert set(M.evaluate_fit(model, part(table, "val"), "y")) == {"accuracy", "precision", "recall", "f1", "roc_auc"}
     assert seen == [True]
+
+
+def test_cross_validation_holds_its_tables_on_disk(table, monkeypatch):
+    frame, held = type(table), []
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *a: held.append((self.columns, a)) or persist(self, *a))
+    folded = stratified_folds(table.drop("split"), "y", "id", 2)
+    M.cross_validate([candidate("logistic"), candidate("forest")], folded, "y", "fold")
+    levels = [a[0] for columns, a in held if M.FEATURES in columns or "fold" in columns]
+    assert len(levels) == 2 * 2 * 2 + 1             # train and test of each preparation and fold, and the medians
+    assert all(level.useDisk and not level.useMemory for level in levels)
+
+
+def test_logistic_blocks_are_small_unless_told(table):
+    assert M.learner("logistic", "y", 200.0).getMaxBlockSizeInMB() == 0.25
+    assert M.learner("logistic", "y", 200.0, maxBlockSizeInMB=1.0).getMaxBlockSizeInMB() == 1.0
